@@ -71,11 +71,6 @@ def day_of_week(day: Column | str) -> Column:
     return F.weekday(day).cast("int")
 
 
-def days_since(then: Column, as_of: Column) -> Column:
-    """Age in fractional days."""
-    return (F.unix_micros(as_of) - F.unix_micros(then)) / F.lit(86_400_000_000.0)
-
-
 def local_today(as_of: Column, zone: str) -> Column:
     """The calendar date of an instant (given as a UTC wall-clock reading) in ``zone``."""
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), as_of.cast("timestamp_ntz")).cast("date")

@@ -6,11 +6,13 @@ the rows the result needs.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast import settings as S
-from kerbcast.functions.exact import exact_mean, MICROS_PER_MINUTE
+from kerbcast.functions.exact import MICROS_PER_MINUTE, exact_mean
 from kerbcast.operators.lookups import lookup_join
 
 HOURS = 24
@@ -24,56 +26,64 @@ def zone_hour_grid(
     return zones.withColumn(time_col, F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
 
 
-def _in_grid(n_zones: int, zone_col: str) -> Column:
-    return F.col(zone_col).between(0, n_zones - 1)
-
-
 def fill_days(
-    counts: DataFrame, n_zones: int, zone_col: str = "pickup_zone", time_col: str = "hour"
+    counts: DataFrame,
+    n_zones: int | Column,
+    zone_col: str = "pickup_zone",
+    time_col: str = "hour",
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Zero-fill counts over zones x hours x the dates present.
 
-    ``counts`` may hold rows with no zone: they make their date present and vanish.  The
-    result has the same columns, one row per cell.
+    ``counts`` may hold rows with no zone: they make their date present and vanish.  With
+    ``by``, each group is filled on its own and ``n_zones`` may be one of its columns.
+    The result has one row per cell.
     """
-    zero_cells = F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(n_zones - 1)),
-            lambda zone: F.transform(
-                F.sequence(F.lit(0), F.lit(HOURS - 1)),
-                lambda hour: F.struct(
-                    zone.cast("int").alias(zone_col),
-                    hour.cast("int").alias(time_col),
-                    F.lit(0).cast("bigint").alias("ride_count"),
-                ),
-            ),
-        )
-    )
+    zones = F.lit(n_zones) if isinstance(n_zones, int) else n_zones
+    group = [*by, "date"]
+    every_zone = F.sequence(F.lit(0), zones - 1)
+    every_hour = F.sequence(F.lit(0), F.lit(HOURS - 1))
+    in_grid = F.col(zone_col).between(F.lit(0), zones - 1)
     cell = F.struct(
         F.col(zone_col).cast("int").alias(zone_col),
         F.col(time_col).cast("int").alias(time_col),
         F.col("ride_count").cast("bigint").alias("ride_count"),
     )
-    if n_zones * HOURS <= S.GRID_MAX_CELLS_PER_DAY:
+    if not isinstance(n_zones, int) or n_zones * HOURS <= S.GRID_MAX_CELLS_PER_DAY:
         # A day holds at most n_zones * 24 cells, so its counts and its zero cells fit one
         # row; exploding both and adding up stays in the same hash partition.
+        zero_cells = F.flatten(
+            F.transform(
+                every_zone,
+                lambda zone: F.transform(
+                    every_hour,
+                    lambda hour: F.struct(
+                        zone.cast("int").alias(zone_col),
+                        hour.cast("int").alias(time_col),
+                        F.lit(0).cast("bigint").alias("ride_count"),
+                    ),
+                ),
+            )
+        )
         cells = (
-            counts.groupBy("date")
-            .agg(F.collect_list(F.when(_in_grid(n_zones, zone_col), cell)).alias("seen"))
-            .select("date", F.explode(F.concat("seen", zero_cells)).alias("cell"))
-            .select("date", "cell.*")
+            counts.groupBy(*group)
+            .agg(F.collect_list(F.when(in_grid, cell)).alias("seen"))
+            .select(*group, F.explode(F.concat("seen", zero_cells)).alias("cell"))
+            .select(*group, "cell.*")
         )
     else:
-        zones = counts.select("date").distinct()
-        zero = zones.withColumn(
-            zone_col, F.explode(F.sequence(F.lit(0), F.lit(n_zones - 1)))
-        ).withColumn(time_col, F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
-        cells = (
-            counts.filter(_in_grid(n_zones, zone_col))
-            .select("date", zone_col, time_col, "ride_count")
-            .unionByName(zero.withColumn("ride_count", F.lit(0).cast("bigint")))
+        zeros = (
+            counts.select(*group)
+            .distinct()
+            .withColumn(zone_col, F.explode(every_zone))
+            .withColumn(time_col, F.explode(every_hour))
+            .withColumn("ride_count", F.lit(0).cast("bigint"))
         )
-    return cells.groupBy(zone_col, time_col, "date").agg(F.sum("ride_count").alias("ride_count"))
+        observed = counts.filter(in_grid).select(*group, cell.alias("cell"))
+        cells = observed.select(*group, "cell.*").unionByName(zeros)
+    return cells.groupBy(*by, zone_col, time_col, "date").agg(
+        F.sum("ride_count").alias("ride_count")
+    )
 
 
 def zone_hour_totals(
