@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog.sql import CENTRES, N_ZONES
 from kerbcast.operators.cleaning import clean_trips, measure_trips
+from kerbcast.operators.grid import zone_hour_daily_from_partials
 from kerbcast.operators.partials import partials_from_trips
+from kerbcast.operators.zoning import assign_zones, zone_map
+from kerbcast.plans.forecast import Zoning, zoning_from_centres
+from kerbcast.session import ensure_checkpoint_dir
 from kerbcast.sources.standins import (
     EVENT_MONTH,
     ORDER_FIRST_MONTH,
@@ -17,11 +24,6 @@ from kerbcast.sources.standins import (
 )
 from kerbcast.sources.trips import normalize_trips
 
-# A fixed set of zone centres, so that zoning itself can be checked in SQL.
-CENTRES = [(40.56 + 0.09 * (i % 4), -74.13 + 0.07 * (i // 4)) for i in range(20)]
-N_ZONES = len(CENTRES)
-
-
 def ev_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_trips(event_trips(spark, sf_dir), keep=["event_id"])
 
@@ -46,5 +48,26 @@ def or_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partials_from_trips(trips, ORDER_FIRST_MONTH, lattice_centroids(spark), ORDER_MONTHS)
 
 
-def with_kept(df: DataFrame, **columns) -> DataFrame:
-    return df.select(*[F.col(source).alias(name) for name, source in columns.items()])
+def fixed_zone_map(spark: SparkSession) -> DataFrame:
+    """Locations mapped to fixed centres, so that SQL can follow."""
+    return zone_map(lattice_centroids(spark), CENTRES)
+
+
+def ev_zoned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = assign_zones(ev_clean(spark, sf_dir), CENTRES)
+    return trips.withColumn("hour", F.hour("start_time"))
+
+
+def ev_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_hour_daily_from_partials(
+        ev_partials(spark, sf_dir), fixed_zone_map(spark), N_ZONES
+    )
+
+
+def ev_zoning(spark: SparkSession, sf_dir: str) -> Zoning:
+    return zoning_from_centres(ev_partials(spark, sf_dir), lattice_centroids(spark), CENTRES)
+
+
+def scratch(spark: SparkSession) -> str:
+    """A fresh folder every executor can reach."""
+    return f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"

@@ -120,3 +120,81 @@ for _src in ("ev", "or"):
       count(ride_distance_km) AS distance_n
     FROM {_src}_clean GROUP BY ALL""",
     )
+
+
+# --- zones and dense tables ----------------------------------------------------------
+def lattice_centres(n: int) -> list[tuple[float, float]]:
+    """``n`` fixed zone centres over the stand-in locations."""
+    return [(40.56 + 0.09 * (i % 4), -74.13 + 0.35 * (i // 4) / max(1, (n + 3) // 4)) for i in range(n)]
+
+
+N_ZONES = 20
+CENTRES = lattice_centres(N_ZONES)
+
+block(
+    "zone_map", "centroids",
+    sql=f"""
+    SELECT location_id AS pickup_location_id,
+      CAST({nearest('lat', 'lng', CENTRES)} AS INTEGER) AS pickup_zone FROM centroids""",
+)
+for _src in ("ev", "or"):
+    block(
+        f"{_src}_zhd", f"{_src}_partials", "zone_map",
+        sql=f"""
+    SELECT CAST(z.z AS INTEGER) AS pickup_zone, CAST(h.h AS INTEGER) AS hour, d.date,
+      CAST(coalesce(c.n, 0) AS BIGINT) AS ride_count
+    FROM range({N_ZONES}) z(z) CROSS JOIN range(24) h(h)
+      CROSS JOIN (SELECT DISTINCT date FROM {_src}_partials) d
+      LEFT JOIN (SELECT pickup_zone, hour, date, sum(ride_count) AS n
+                 FROM {_src}_partials JOIN zone_map USING (pickup_location_id) GROUP BY ALL) c
+        ON c.pickup_zone = z.z AND c.hour = h.h AND c.date = d.date""",
+    )
+    block(
+        f"{_src}_sums", f"{_src}_partials", "zone_map",
+        sql=f"""
+    SELECT pickup_zone, hour, {exact_sum('duration_sum', '6e7')} AS duration_sum,
+      sum(duration_n) AS duration_n, {exact_sum('distance_sum')} AS distance_sum,
+      sum(distance_n) AS distance_n
+    FROM {_src}_partials JOIN zone_map USING (pickup_location_id) GROUP BY ALL""",
+    )
+
+    def _level(prefix: str, unit: str) -> str:
+        total, n = f"{prefix}_sum", f"{prefix}_n"
+        return f"""coalesce(s.{total} / nullif(s.{n}, 0), zs.{total} / nullif(zs.{n}, 0),
+          t.{total} / nullif(t.{n}, 0))"""
+
+    _total = f"""SELECT %s {exact_sum('duration_sum', '6e7')} AS duration_sum,
+          sum(duration_n) AS duration_n, {exact_sum('distance_sum')} AS distance_sum,
+          sum(distance_n) AS distance_n FROM {_src}_sums %s"""
+    block(
+        f"{_src}_profile", f"{_src}_sums",
+        sql=f"""
+    SELECT CAST(z.z AS INTEGER) AS pickup_zone, CAST(h.h AS INTEGER) AS hour,
+      {_level('duration', '6e7')} AS avg_ride_duration_min,
+      {_level('distance', '1e6')} AS avg_ride_distance
+    FROM range({N_ZONES}) z(z) CROSS JOIN range(24) h(h)
+      LEFT JOIN {_src}_sums s ON s.pickup_zone = z.z AND s.hour = h.h
+      LEFT JOIN ({_total % ('pickup_zone,', 'GROUP BY pickup_zone')}) zs ON zs.pickup_zone = z.z
+      CROSS JOIN ({_total % ('', '')}) t""",
+    )
+    block(
+        f"{_src}_features", f"{_src}_zhd", f"{_src}_profile",
+        sql=f"""
+    SELECT date, pickup_zone, hour, CAST(isodow(date) - 1 AS INTEGER) AS day_of_week,
+      avg_ride_duration_min, avg_ride_distance, ride_count
+    FROM {_src}_zhd LEFT JOIN {_src}_profile USING (pickup_zone, hour)""",
+    )
+block(
+    "ev_zoned", "ev_clean", "zone_map",
+    sql="""
+    SELECT c.*, z.pickup_zone, CAST(hour(start_time) AS INTEGER) AS hour
+    FROM ev_clean c JOIN zone_map z USING (pickup_location_id)""",
+)
+
+
+def metrics(truth: str = "ride_count", guess: str = "prediction") -> str:
+    error = f"({truth} - {guess})"
+    return f"""{exact_mean(f'abs{error}')} AS mae,
+      sqrt({exact_mean(f'{error} * {error}')}) AS rmse,
+      ({exact_sum(f'abs{error}')}) / nullif(CAST(sum({truth}) AS DOUBLE), 0) AS wape,
+      count(*) AS n_test_rows"""

@@ -5,25 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import ev_clean, ev_measured, ev_partials, ev_raw, or_partials
+from catalog.section import Section
 from catalog.sql import with_
+from kerbcast import settings as S
+from kerbcast.functions.clock import day_of_week
+from kerbcast.functions.geo import in_service_area
 from kerbcast.operators import cleaning as C
-from kerbcast.operators.partials import daily_coverage_problems, location_hour_daily
-from kerbcast.sources.standins import EVENT_MONTH, event_trips, lattice_centroids
+from kerbcast.operators.partials import location_hour_daily
+from kerbcast.sources.standins import event_trips, order_trips
 from kerbcast.sources.trips import normalize_trips
 
-QUERIES = {}
-ORACLES = {}
-
-
-def register(name, sql):
-    def add(function):
-        QUERIES[name] = function
-        if sql is not None:
-            ORACLES[name] = sql
-        return function
-
-    return add
-
+register = Section()
 
 RAW = "event_id, start_time, end_time, pickup_location_id, dropoff_location_id"
 
@@ -59,8 +51,6 @@ def a2(spark, sf_dir):
       WHERE start_time >= TIMESTAMP '1998-03-01' AND start_time < TIMESTAMP '1998-04-01'""",
 )
 def b1(spark, sf_dir):
-    from kerbcast.sources.standins import order_trips
-
     trips = normalize_trips(order_trips(spark, sf_dir), keep=["o_orderkey"])
     return C.starts_in_period(trips, "1998-03").select("o_orderkey", "start_time")
 
@@ -106,8 +96,6 @@ def b4(spark, sf_dir):
         AND end_lng BETWEEN -74.2588::DOUBLE AND -73.7002::DOUBLE, false) AS inside FROM ev_clean""",
 )
 def b5(spark, sf_dir):
-    from kerbcast.functions.geo import in_service_area
-
     inside = F.coalesce(in_service_area(F.col("end_lat"), F.col("end_lng")), F.lit(False))
     return ev_clean(spark, sf_dir).select("event_id", "end_lat", "end_lng", inside.alias("inside"))
 
@@ -118,8 +106,6 @@ def b5(spark, sf_dir):
       miles * 1.609344::DOUBLE AS km FROM ev_raw""",
 )
 def c1(spark, sf_dir):
-    from kerbcast import settings as S
-
     return C.with_raw_minutes(ev_raw(spark, sf_dir)).select(
         "event_id",
         F.col("_minutes").alias("minutes"),
@@ -154,8 +140,6 @@ def c4(spark, sf_dir):
       CAST(isodow(start_time) - 1 AS INTEGER) AS day_of_week FROM ev_measured""",
 )
 def c5(spark, sf_dir):
-    from kerbcast.functions.clock import day_of_week
-
     return ev_measured(spark, sf_dir).select(
         "event_id",
         F.col("start_time").cast("date").alias("date"),

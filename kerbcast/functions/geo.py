@@ -32,17 +32,17 @@ def squared_distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 
 
 def nearest_centre(lat: Column, lng: Column, centres: Sequence[tuple[float, float]]) -> Column:
-    """``struct(d2, zone)`` of the closest centre, the lowest zone on ties.
+    """``struct(d2, zone)`` of the closest centre, the lowest zone on ties; NULL without
+    a point.
 
-    The centres are a model's few coordinates, so they are literals of one generated
-    expression: no join and no shuffle, whatever the number of points.
+    The centres are a model's few coordinates, so they are literals of one expression: no
+    join and no shuffle, whatever the number of points.  Searching an array keeps the
+    expression the same size for any number of centres; one term per centre outgrows the
+    generated method and then runs many times slower.
     """
-    candidates = [
-        F.struct(
-            squared_distance(lat, lng, F.lit(c_lat), F.lit(c_lng)).alias("d2"),
-            F.lit(zone).alias("zone"),
-        )
-        for zone, (c_lat, c_lng) in enumerate(centres)
-    ]
-    found = candidates[0] if len(candidates) == 1 else F.least(*candidates)
-    return F.when(lat.isNotNull() & lng.isNotNull(), found)
+    lats = F.array(*[F.lit(c_lat) for c_lat, _ in centres])
+    lngs = F.array(*[F.lit(c_lng) for _, c_lng in centres])
+    distances = F.zip_with(lats, lngs, lambda y, x: squared_distance(lat, lng, y, x))
+    closest = F.array_min(distances)
+    zone = (F.array_position(distances, closest) - 1).cast("int")
+    return F.struct(closest.alias("d2"), zone.alias("zone"))

@@ -29,9 +29,7 @@ def zone_hour_profile(partials: DataFrame, zone_map: DataFrame, n_zones: int) ->
     A zone-hour with no usable measurement takes its zone's mean over all hours, then the
     overall mean, rather than zero.
     """
-    sums = zone_hour_sums(partials, zone_map).filter(
-        F.col("pickup_zone").between(0, n_zones - 1)
-    )
+    sums = zone_hour_sums(partials, zone_map)
     # One row, read as a scalar subquery over the same shuffle.
     overall = sums.agg(
         F.struct(

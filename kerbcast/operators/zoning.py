@@ -121,7 +121,9 @@ def summed_distances(
         .groupBy("block", "pickup_zone")
         .agg(
             F.sort_array(
-                F.collect_list(F.struct("start_lat", "start_lng", F.col("weight").cast("double")))
+                F.collect_list(
+                    F.struct("start_lat", "start_lng", F.col("weight").cast("double").alias("weight"))
+                )
             ).alias("members")
         )
         .withColumnRenamed("pickup_zone", "cluster")
