@@ -195,25 +195,17 @@ def e8_orders(spark, sf_dir):
 
 block(
     "thin", "or_partials",
-    sql="""SELECT date, CASE WHEN day(date) % 10 = 3 THEN 1 ELSE 40 * ride_count END AS ride_count
-           FROM or_partials WHERE day(date) % 10 <> 3 OR pickup_location_id % 8 = 0
-           UNION ALL SELECT DISTINCT date, 1 FROM or_partials WHERE day(date) % 10 = 3""",
+    sql="""SELECT date, ride_count * CASE WHEN day(date) % 10 = 3 THEN 1 ELSE 200 END AS ride_count
+           FROM or_partials""",
 )
 
 
 @register("e8_coverage_low_days", _coverage("thin"))
 def e8_low(spark, sf_dir):
-    # Every tenth day is thinned out, so complete months report it as low.
+    # Most days weigh 200 times more, so complete months report the others as low.
+    weight = F.when(F.dayofmonth("date") % 10 == 3, 1).otherwise(200)
     partials = or_partials(spark, sf_dir)
-    thin = F.dayofmonth("date") % 10 == 3
-    rides = F.when(thin, F.lit(1)).otherwise(F.col("ride_count") * 40).cast("bigint")
-    kept = partials.filter(~thin | (F.col("pickup_location_id") % 8 == 0)).select(
-        "date", rides.alias("ride_count")
-    )
-    marks = partials.filter(thin).select("date").distinct()
-    return daily_coverage_problems(
-        kept.unionByName(marks.withColumn("ride_count", F.lit(1).cast("bigint")))
-    )
+    return daily_coverage_problems(partials.withColumn("ride_count", F.col("ride_count") * weight))
 
 
 # --- zones ---------------------------------------------------------------------------
@@ -332,12 +324,11 @@ DISTANCE = """sqrt((a.start_lat - b.start_lat) * (a.start_lat - b.start_lat)
 @register(
     "d10_summed_distances",
     with_("labelled") + f"""SELECT a.pickup_location_id, a.pickup_zone, a.weight,
-      b.pickup_zone AS cluster, round(sum(b.weight * {DISTANCE}), 6) AS distance
+      b.pickup_zone AS cluster, {exact_sum('b.weight * ' + DISTANCE, '1e9')} AS distance
       FROM labelled a CROSS JOIN labelled b GROUP BY ALL""",
 )
 def d10(spark, sf_dir):
-    sums = zoning.summed_distances(_labelled(spark, sf_dir))
-    return sums.withColumn("distance", F.round("distance", 6))
+    return zoning.summed_distances(_labelled(spark, sf_dir))
 
 
 @register(

@@ -7,7 +7,7 @@ from math import ceil
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast import settings as S
@@ -16,6 +16,8 @@ from kerbcast.functions.geo import nearest_centre, squared_distance
 from kerbcast.operators.grid import with_zone
 
 Centres = Sequence[tuple[float, float]]
+# Distances are added in whole steps of this fraction of a coordinate unit.
+_DISTANCE_STEPS = 1e9
 
 
 def pickup_points(partials: DataFrame, centroids: DataFrame) -> DataFrame:
@@ -130,18 +132,22 @@ def summed_distances(
     )
     reach = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     lat, lng = F.col("start_lat"), F.col("start_lng")
+
+    def weighted(m: Column) -> Column:
+        distance = F.sqrt(squared_distance(lat, lng, m["start_lat"], m["start_lng"]))
+        return F.rint(m["weight"] * distance * F.lit(_DISTANCE_STEPS)).cast("decimal(38,0)")
+
     total = F.aggregate(
         "members",
-        F.lit(0.0),
-        lambda acc, m: acc
-        + m["weight"] * F.sqrt(squared_distance(lat, lng, m["start_lat"], m["start_lng"])),
+        F.lit(0).cast("decimal(38,0)"),
+        lambda acc, m: (acc + weighted(m)).cast("decimal(38,0)"),
     )
     return (
         points.withColumn("block", reach)
         .join(members, "block")
         .select(point, "pickup_zone", "weight", "cluster", total.alias("distance"))
         .groupBy(point, "pickup_zone", "weight", "cluster")
-        .agg(exact_sum("distance", 1e9).alias("distance"))
+        .agg((F.sum("distance").cast("double") / F.lit(_DISTANCE_STEPS)).alias("distance"))
     )
 
 

@@ -61,8 +61,8 @@ TREE_PARAMS = {
 ALREADY_CURRENT = "this model is already the current one"
 REASON_NOT_EVALUATED = "the new model was not evaluated, so it can't be compared"
 REASON_NO_CURRENT = "there is no current model"
-REASON_WITHIN = "WAPE %.4f is within the limit of %.4f (current model %.4f)"
-REASON_ABOVE = "WAPE %.4f is above the limit of %.4f (current model %.4f)"
+REASON_WITHIN = "WAPE %s is within the limit of %s (current model %s)"
+REASON_ABOVE = "WAPE %s is above the limit of %s (current model %s)"
 OBSTACLE_PREFIX = "no fair comparison: "
 OBSTACLE_NO_MONTHS = "the current model doesn't record what it was trained on"
 OBSTACLE_SEEN = "the current model was already trained on data up to %s"

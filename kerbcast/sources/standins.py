@@ -21,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
+def event_trips(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+) -> DataFrame:
+    """Trips from ``events``, or from a stream of the same columns."""
+    source = table(spark, sf_dir, "events") if events is None else events
+    events = source.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
     quiet = F.col("event_type").isin("view", "signup") & (F.col("k") % 25 == 0)
     voided = (F.col("event_type") == "error") & (F.col("k") % 10 == 0)
     return events.select(
