@@ -72,7 +72,10 @@ def b2(spark, sf_dir):
 )
 def b3(spark, sf_dir):
     trips = C.with_raw_minutes(ev_raw(spark, sf_dir))
-    kept = trips.filter(~C.is_false_start(F.col("_minutes"), F.col("trip_distance_miles")))
+    false_start = C.is_false_start(
+        F.col("start_time"), F.col("end_time"), F.col("trip_distance_miles")
+    )
+    kept = trips.filter(~false_start)
     return kept.select(
         "event_id", F.col("_minutes").alias("minutes"), F.col("trip_distance_miles").alias("miles")
     )

@@ -47,8 +47,11 @@ def is_voided(fare: Column) -> Column:
     return _holds(fare < 0)
 
 
-def is_false_start(minutes: Column, miles: Column) -> Column:
-    return _holds((minutes < S.MIN_DURATION_MIN) & (miles == 0))
+def is_false_start(start: Column, end: Column, miles: Column) -> Column:
+    """Too short and without distance.  Compares timestamps, so that the filter does not
+    compute the duration a second time."""
+    shortest = F.make_dt_interval(mins=F.lit(S.MIN_DURATION_MIN))
+    return _holds((end < start + shortest) & (miles == 0))
 
 
 def is_too_fast(minutes: Column, miles: Column) -> Column:
@@ -62,10 +65,11 @@ def with_raw_minutes(trips: DataFrame) -> DataFrame:
 
 
 def drop_uncountable(trips: DataFrame) -> DataFrame:
-    """Drop voided records and false starts (needs ``_minutes``)."""
-    return trips.filter(~is_voided(F.col("fare_amount"))).filter(
-        ~is_false_start(F.col("_minutes"), F.col("trip_distance_miles"))
+    """Drop voided records and false starts."""
+    false_start = is_false_start(
+        F.col("start_time"), F.col("end_time"), F.col("trip_distance_miles")
     )
+    return trips.filter(~is_voided(F.col("fare_amount"))).filter(~false_start)
 
 
 def trusted_measurements(trips: DataFrame) -> DataFrame:
@@ -89,8 +93,8 @@ def measure_trips(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """All cleaning that needs no lookup: a narrow map over the scan."""
-    counted = drop_uncountable(with_raw_minutes(starts_in_period(trips, first_month, n_months)))
-    return trusted_measurements(counted).select(*CLEAN_COLUMNS, *keep)
+    counted = drop_uncountable(starts_in_period(trips, first_month, n_months))
+    return trusted_measurements(with_raw_minutes(counted)).select(*CLEAN_COLUMNS, *keep)
 
 
 def with_coordinates(trips: DataFrame, centroids: DataFrame) -> DataFrame:
