@@ -14,6 +14,7 @@ from kerbcast.operators.baselines import baseline_scores
 from kerbcast.plans import lifecycle as L
 from kerbcast.plans.bundles import save_bundle
 from kerbcast.plans.forecast import WeekdayMean, train
+from kerbcast.session import settle
 from kerbcast.sources import records
 from kerbcast.sources.standins import lattice_centroids, table
 
@@ -339,7 +340,7 @@ def _saved(spark, registry, partials, end_month):
 @register("i18_i20_i21_promotion_run")
 def i18(spark, sf_dir):
     """Two models in turn: the first enters unopposed, the second is compared with it."""
-    partials = or_partials(spark, sf_dir).persist()
+    partials = settle(or_partials(spark, sf_dir))
     registry = L.Registry(spark, scratch(spark))
     centroids = lattice_centroids(spark)
     decisions = []
@@ -350,5 +351,4 @@ def i18(spark, sf_dir):
     out = scratch(spark)
     for decision in decisions:
         records.record_decision(spark, decision, out)
-    partials.unpersist()
     return registry.listing()

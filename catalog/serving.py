@@ -56,9 +56,8 @@ block(
 
 def _requests(spark, sf_dir):
     k, user = F.col("k"), F.col("user_id")
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
+    number = F.get_json_object("props", "$.k").cast("int")
+    events = table(spark, sf_dir, "events").withColumn("k", F.explode(F.array(number)))
     return events.select(
         "event_id",
         (k % 25).alias("hour"),

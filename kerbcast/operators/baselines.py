@@ -12,6 +12,7 @@ from pyspark.sql import Window
 from kerbcast.functions.clock import day_of_week, wall_micros
 from kerbcast.operators.order_stats import value_at_rank
 from kerbcast.operators.scoring import error_metrics
+from kerbcast.session import settle
 
 CELL = ("pickup_zone", "hour")
 
@@ -59,27 +60,30 @@ def recency_features(daily: DataFrame, rolling_days: int = 7) -> DataFrame:
     )
 
 
+def train_mean(in_train: Column, *keys: str) -> Column:
+    """Mean count of the training rows of each cell, on every row of the cell."""
+    cell = Window.partitionBy(*keys)
+    rides = F.sum(F.when(in_train, F.col("ride_count"))).over(cell)
+    return F.try_divide(rides.cast("double"), F.count_if(in_train).over(cell))
+
+
 def baseline_predictions(daily: DataFrame, first_test_day: dt.date | Column) -> DataFrame:
     """All baselines on the test rows, long: one row per predictor and test cell.
 
-    Means use training days only.  The mean tables hold one row per cell (and weekday),
-    a size fixed by the zone count.
+    Means use training days only.  Every baseline looks at one zone and hour, so a single
+    shuffle by zone and hour serves all four; a window holds one row per date.
     """
     cut = F.lit(first_test_day) if isinstance(first_test_day, dt.date) else first_test_day
-    train = daily.filter(F.col("date") < cut)
-    lagged = daily.withColumns(
-        {
-            "seasonal_naive": count_days_before(7).cast("double"),
-            "persistence": count_days_before(1).cast("double"),
-        }
-    )
-    test = with_weekday(lagged.filter(F.col("date") >= cut))
-    wide = test.join(zone_hour_mean(train, "zone_hour_mean"), list(CELL), "left").join(
-        zone_hour_weekday_mean(train, "zone_hour_weekday_mean"), [*CELL, "day_of_week"], "left"
-    )
-    names = ("zone_hour_mean", "zone_hour_weekday_mean", "seasonal_naive", "persistence")
+    in_train = F.col("date") < cut
+    predictors = {
+        "zone_hour_mean": train_mean(in_train, *CELL),
+        "zone_hour_weekday_mean": train_mean(in_train, *CELL, "day_of_week"),
+        "seasonal_naive": count_days_before(7).cast("double"),
+        "persistence": count_days_before(1).cast("double"),
+    }
+    wide = with_weekday(daily).withColumns(predictors).filter(~in_train)
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("predictor"), F.col(n).alias("prediction")) for n in names]
+        *[F.struct(F.lit(n).alias("predictor"), F.col(n).alias("prediction")) for n in predictors]
     )
     return wide.select(*CELL, "date", "ride_count", F.inline(pairs))
 
@@ -146,10 +150,9 @@ def random_day_sides(daily: DataFrame, test_share: float = 0.2) -> DataFrame:
 
 def split_scores(sided: DataFrame) -> DataFrame:
     """Score the zone-hour-weekday mean of the train side on the test side."""
-    train = sided.filter("side = 'train'")
-    test = with_weekday(sided.filter("side = 'test'"))
-    keys = [*CELL, "day_of_week"]
-    return error_metrics(test.join(zone_hour_weekday_mean(train), keys, "left"))
+    prediction = train_mean(F.col("side") == "train", *CELL, "day_of_week")
+    scored = with_weekday(sided).withColumn("prediction", prediction)
+    return error_metrics(scored.filter("side = 'test'"))
 
 
 def date_tiles(daily: DataFrame, n_folds: int) -> DataFrame:
@@ -179,6 +182,7 @@ def expanding_fold_scores(daily: DataFrame, n_folds: int) -> DataFrame:
     Training rows are reduced to sums per tile and cell before they are repeated for the
     folds that contain the tile.
     """
+    daily = settle(daily)
     tiled = with_weekday(daily).join(date_tiles(daily, n_folds), "date")
     keys = ["fold", *CELL, "day_of_week"]
     sums = (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from kerbcast.functions.exact import exact_sum
+from kerbcast.session import settle
 
 
 def daily_errors(scored: DataFrame, truth: str = "ride_count", guess: str = "prediction") -> DataFrame:
@@ -32,10 +33,14 @@ def bootstrap_replicates(errors: DataFrame, replicates: int = 2000) -> DataFrame
     ``errors`` has one row per day.  Only its days are numbered in one ordering; the
     resamples are generated rows joined to them by day number.
     """
+    return _replicates(settle(errors), replicates)
+
+
+def _replicates(errors: DataFrame, replicates: int) -> DataFrame:
     numbered = errors.withColumns(
         {
             "day_no": F.row_number().over(Window.orderBy("date")).cast("bigint"),
-            "n_days": F.count("*").over(Window.partitionBy()),
+            "n_days": F.count("*").over(Window.partitionBy(F.lit(0))),
         }
     )
     slots = numbered.select(
@@ -55,7 +60,8 @@ def bootstrap_replicates(errors: DataFrame, replicates: int = 2000) -> DataFrame
 
 def mae_interval(errors: DataFrame, replicates: int = 2000) -> DataFrame:
     """The central 95 % of the replicates, next to the MAE itself."""
-    spread = bootstrap_replicates(errors, replicates).agg(
+    errors = settle(errors)
+    spread = _replicates(errors, replicates).agg(
         F.percentile("mae", F.lit(0.025)).alias("mae_low"),
         F.percentile("mae", F.lit(0.975)).alias("mae_high"),
     )

@@ -15,6 +15,11 @@ def fits_broadcast(df: DataFrame, max_rows: int = S.BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def cells_fit_broadcast(n_zones: int, max_rows: int = S.BROADCAST_MAX_ROWS) -> bool:
+    """Whether a table of one row per zone and hour is small: its size is known."""
+    return n_zones * 24 <= max_rows
+
+
 def salted_join(
     facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, salts: int = S.JOIN_SALTS
 ) -> DataFrame:

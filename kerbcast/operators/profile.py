@@ -29,41 +29,25 @@ def zone_hour_profile(partials: DataFrame, zone_map: DataFrame, n_zones: int) ->
     A zone-hour with no usable measurement takes its zone's mean over all hours, then the
     overall mean, rather than zero.
     """
-    sums = zone_hour_sums(partials, zone_map)
-    # One row, read as a scalar subquery over the same shuffle.
-    overall = sums.agg(
-        F.struct(
-            exact_sum_or_zero("duration_sum", MICROS_PER_MINUTE).alias("duration_sum"),
-            F.sum("duration_n").alias("duration_n"),
-            exact_sum_or_zero("distance_sum", MICRO).alias("distance_sum"),
-            F.sum("distance_n").alias("distance_n"),
-        ).alias("overall")
-    ).scalar()
     filled = zone_hour_grid(partials.sparkSession, n_zones).join(
-        sums, ["pickup_zone", "hour"], "left"
+        zone_hour_sums(partials, zone_map), ["pickup_zone", "hour"], "left"
     )
-    zone = Window.partitionBy("pickup_zone")
-    units = {"duration": MICROS_PER_MINUTE, "distance": MICRO}
-    totals = {}
-    for prefix, unit in units.items():
-        steps = F.rint(F.coalesce(f"{prefix}_sum", F.lit(0.0)) * unit).cast("decimal(38,0)")
-        totals[f"_zone_{prefix}_sum"] = F.sum(steps).over(zone).cast("double") / F.lit(unit)
-        totals[f"_zone_{prefix}_n"] = F.sum(f"{prefix}_n").over(zone)
-    wide = filled.withColumns(totals).withColumn("_overall", overall)
-
-    def mean(prefix: str) -> Column:
-        def ratio(total: Column, n: Column) -> Column:
-            return F.try_divide(total, n)
-
-        return F.coalesce(
-            ratio(F.col(f"{prefix}_sum"), F.col(f"{prefix}_n")),
-            ratio(F.col(f"_zone_{prefix}_sum"), F.col(f"_zone_{prefix}_n")),
-            ratio(F.col(f"_overall.{prefix}_sum"), F.col(f"_overall.{prefix}_n")),
-        )
-
-    return wide.select(
+    # The grid has n_zones * 24 rows whatever the number of trips, so one task can hold
+    # it; a second aggregate for the overall mean would read the partials again.
+    zone, everything = Window.partitionBy("pickup_zone"), Window.partitionBy(F.lit(0))
+
+    def mean(prefix: str, unit: float) -> Column:
+        total, n = F.col(f"{prefix}_sum"), F.col(f"{prefix}_n")
+        steps = F.rint(total * unit).cast("decimal(38,0)")
+        levels = [F.try_divide(total, n)]
+        for window in (zone, everything):
+            window_total = F.sum(steps).over(window).cast("double") / F.lit(unit)
+            levels.append(F.try_divide(window_total, F.sum(n).over(window)))
+        return F.coalesce(*levels)
+
+    return filled.select(
         "pickup_zone",
         "hour",
-        mean("duration").alias("avg_ride_duration_min"),
-        mean("distance").alias("avg_ride_distance"),
+        mean("duration", MICROS_PER_MINUTE).alias("avg_ride_duration_min"),
+        mean("distance", MICRO).alias("avg_ride_distance"),
     )

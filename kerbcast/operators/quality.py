@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from kerbcast.functions.exact import MICROS_PER_MINUTE, exact_sum
 from kerbcast.functions.geo import in_service_area
@@ -55,8 +56,8 @@ def peak_and_trough(profile: DataFrame, by: str) -> DataFrame:
 def daily_series(partials: DataFrame, shock_share: float = 0.5) -> DataFrame:
     """Rides per day with their share of the median day; low shares are shocks."""
     daily = partials.groupBy("date").agg(F.sum("ride_count").alias("rides"))
-    median = daily.agg(F.median("rides")).scalar()
-    share = F.col("rides") / median
+    # One row per calendar day.
+    share = F.col("rides") / F.median("rides").over(Window.partitionBy(F.lit(0)))
     return daily.select(
         "date", "rides", share.alias("share_of_median"), (share < shock_share).alias("is_shock")
     )

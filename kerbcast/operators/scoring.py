@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast.functions.exact import exact_mean, exact_sum
+from kerbcast.session import settle
 
 SETTING = ("window_months", "n_zones")
 
@@ -54,7 +55,7 @@ def summarize_backtest(results: DataFrame, order: Sequence[str] = ()) -> DataFra
 
     Averaging each setting over its own months would compare different seasons.
     """
-    single = first_rows(results, [*SETTING, "test_month"], order)
+    single = settle(first_rows(results, [*SETTING, "test_month"], order))
     return (
         single.join(common_test_months(single), "test_month", "left_semi")
         .groupBy(*SETTING)
@@ -70,7 +71,7 @@ def summarize_backtest(results: DataFrame, order: Sequence[str] = ()) -> DataFra
 
 def assert_comparable(results: DataFrame) -> None:
     """Raise unless some test month was run for every setting."""
-    single = first_rows(results, [*SETTING, "test_month"])
+    single = settle(first_rows(results, [*SETTING, "test_month"]))
     if not common_test_months(single).take(1):
         raise ValueError("no test month was run for every setting; nothing can be compared")
 

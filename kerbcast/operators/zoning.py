@@ -9,6 +9,7 @@ from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from kerbcast import settings as S
 from kerbcast.functions.exact import exact_sum
@@ -89,7 +90,8 @@ def zone_rides(partials: DataFrame, zones: DataFrame, n_zones: int) -> DataFrame
     filled = grid.join(seen, "pickup_zone", "left").select(
         "pickup_zone", F.coalesce("rides", F.lit(0)).alias("rides")
     )
-    total = seen.agg(F.sum("rides")).scalar()
+    # One row per zone.
+    total = F.sum("rides").over(Window.partitionBy(F.lit(0)))
     return filled.withColumn("share", F.try_divide(F.col("rides"), total))
 
 

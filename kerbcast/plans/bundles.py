@@ -24,8 +24,7 @@ def save_bundle(spark: SparkSession, bundle: Bundle, path: str) -> None:
         bundle.fitted.model.write().overwrite().save(f"{path}/trees")
     else:
         kind = "mean"
-        bundle.fitted.by_weekday.coalesce(1).write.mode("overwrite").parquet(f"{path}/by_weekday")
-        bundle.fitted.by_hour.coalesce(1).write.mode("overwrite").parquet(f"{path}/by_hour")
+        bundle.fitted.cells.coalesce(1).write.mode("overwrite").parquet(f"{path}/means")
     row = (kind, json.dumps(zoning.centres), json.dumps(bundle.metadata))
     metadata = spark.createDataFrame([row], METADATA_SCHEMA)
     metadata.coalesce(1).write.mode("overwrite").json(f"{path}/metadata")
@@ -45,9 +44,7 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
         model = GBTRegressionModel.load(f"{path}/trees")
         fitted = FittedTrees(model, metadata["feature_order"])
     else:
-        fitted = FittedMean(
-            spark.read.parquet(f"{path}/by_weekday"), spark.read.parquet(f"{path}/by_hour")
-        )
+        fitted = FittedMean(spark.read.parquet(f"{path}/means"))
     return Bundle(zoning, fitted, metadata)
 
 

@@ -14,6 +14,7 @@ from kerbcast import settings as S
 from kerbcast.functions.clock import day_of_week, local_today
 from kerbcast.functions.geo import nearest_centre
 from kerbcast.operators.grid import HOURS
+from kerbcast.operators.lookups import lookup_join
 from kerbcast.plans.forecast import Bundle, Fitted, Zoning
 
 
@@ -57,11 +58,8 @@ def resolve_requests(valid: DataFrame, centres, as_of: Column) -> DataFrame:
 
 
 def request_features(resolved: DataFrame, profile: DataFrame) -> DataFrame:
-    """Features of resolved requests; a zone-hour without a profile gets zeros.
-
-    The profile holds one row per zone and hour.
-    """
-    joined = resolved.join(F.broadcast(profile), ["pickup_zone", "hour"], "left")
+    """Features of resolved requests; a zone-hour without a profile gets zeros."""
+    joined = lookup_join(resolved, profile, ["pickup_zone", "hour"], "left")
     return joined.withColumns(
         {
             "day_of_week": day_of_week("date"),

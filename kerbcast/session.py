@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "kerbcast", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +41,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write a reduced table to the checkpoint folder and go on from there.
+
+    For small results of large scans that several later steps read: they neither repeat
+    the scan nor lose it with an executor, as a cached copy would be.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
