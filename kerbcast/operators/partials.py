@@ -32,9 +32,9 @@ def location_hour_daily(trips: DataFrame) -> DataFrame:
     )
     return keyed.groupBy(*PARTIAL_KEYS).agg(
         F.count("*").alias("ride_count"),
-        exact_sum_or_zero("ride_duration_min", MICROS_PER_MINUTE, wide=False).alias("duration_sum"),
+        exact_sum_or_zero("ride_duration_min", MICROS_PER_MINUTE).alias("duration_sum"),
         F.count("ride_duration_min").alias("duration_n"),
-        exact_sum_or_zero("ride_distance_km", MICRO, wide=False).alias("distance_sum"),
+        exact_sum_or_zero("ride_distance_km", MICRO).alias("distance_sum"),
         F.count("ride_distance_km").alias("distance_n"),
     )
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from kerbcast.functions.exact import MICRO, MICROS_PER_MINUTE, exact_sum_or_zero
+from kerbcast.functions.exact import MICRO, MICROS_PER_MINUTE, exact_sum, exact_sum_or_zero
 from kerbcast.operators.grid import with_zone, zone_hour_grid
 
 
@@ -38,12 +38,11 @@ def zone_hour_profile(partials: DataFrame, zone_map: DataFrame, n_zones: int) ->
 
     def mean(prefix: str, unit: float) -> Column:
         total, n = F.col(f"{prefix}_sum"), F.col(f"{prefix}_n")
-        steps = F.rint(total * unit).cast("decimal(38,0)")
-        levels = [F.try_divide(total, n)]
-        for window in (zone, everything):
-            window_total = F.sum(steps).over(window).cast("double") / F.lit(unit)
-            levels.append(F.try_divide(window_total, F.sum(n).over(window)))
-        return F.coalesce(*levels)
+        wider = [
+            F.try_divide(exact_sum(total, unit, window), F.sum(n).over(window))
+            for window in (zone, everything)
+        ]
+        return F.coalesce(F.try_divide(total, n), *wider)
 
     return filled.select(
         "pickup_zone",

@@ -11,7 +11,7 @@ import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,10 +93,14 @@ def _schema_violations(path: str, schema: T.StructType) -> list[tuple[str, str,
     return found
 
 
-def checksum(df: DataFrame) -> tuple[int, int | None]:
-    """Row count and an order-free hash over every column: decodes all data."""
-    row = df.agg(F.count("*"), F.bit_xor(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])))
-    return tuple(row.first())
+def checksum_columns(df: DataFrame) -> list[Column]:
+    """Row count and an order-free hash over every column: needs all data decoded."""
+    hashed = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
+    return [F.count("*").alias("n_rows"), F.bit_xor(hashed).alias("hash")]
+
+
+def checksum(df: DataFrame) -> dict:
+    return df.agg(*checksum_columns(df)).first().asDict()
 
 
 def contract_violations(spark: SparkSession, path: str) -> DataFrame:
@@ -115,10 +119,14 @@ def contract_violations(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(found, VIOLATION_SCHEMA)
 
 
+def _raise_first(violations: list) -> None:
+    for path, rule, column, detail in violations:
+        raise ContractError(f"{path}: {rule} {column} {detail}")
+
+
 def assert_contract(spark: SparkSession, path: str) -> None:
-    first = contract_violations(spark, path).first()
-    if first is not None:
-        raise ContractError(f"{path}: {first['rule']} {first['column_name']} {first['detail']}")
+    """Raise if landed files break the contract."""
+    _raise_first(contract_violations(spark, path).take(1))
 
 
 def to_curated(landed: DataFrame, month: dt.date) -> DataFrame:
@@ -131,18 +139,29 @@ def to_curated(landed: DataFrame, month: dt.date) -> DataFrame:
 def publish_month(spark: SparkSession, landing: str, curated: str, month: dt.date) -> None:
     """Check, stage, compare, then put one month into the curated table.
 
-    A failure at any step leaves the curated table as it was.
+    A failure at any step leaves the curated table as it was.  Staging writes every
+    column, so it decodes the landed files in full, and their checksum is observed during
+    that one read.
     """
     source = f"{landing}/month={month:%Y-%m}"
-    assert_contract(spark, source)
     staged = f"{curated}_staging/month={month:%Y-%m}"
-    wanted = to_curated(spark.read.parquet(source), month)
-    wanted.drop("month").write.mode("overwrite").parquet(staged)
-    written = spark.read.parquet(staged).withColumn("month", F.lit(f"{month:%Y-%m}"))
-    if checksum(written.select(*wanted.columns)) != checksum(wanted):
+    try:
+        landed = spark.read.parquet(source)
+        _raise_first(_schema_violations(source, landed.schema))
+        wanted = to_curated(landed, month).drop("month")
+        observed = Observation()
+        observing = wanted.observe(observed, *checksum_columns(wanted))
+        observing.write.mode("overwrite").parquet(staged)
+    except ContractError:
+        raise
+    except Exception as error:
+        _raise_first([(source, "unreadable", "", str(error).splitlines()[0][:500])])
+    written = spark.read.parquet(staged).select(*wanted.columns)
+    if checksum(written) != observed.get:
         raise ContractError(f"{staged} does not read back as written")
     (
-        written.write.mode("overwrite")
+        written.withColumn("month", F.lit(f"{month:%Y-%m}"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
         .parquet(curated)
