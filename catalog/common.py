@@ -13,7 +13,7 @@ from kerbcast.operators.grid import zone_hour_daily_from_partials
 from kerbcast.operators.partials import partials_from_trips
 from kerbcast.operators.zoning import assign_zones, zone_map
 from kerbcast.plans.forecast import Zoning, zoning_from_centres
-from kerbcast.session import ensure_checkpoint_dir
+from kerbcast.session import ensure_checkpoint_dir, settle
 from kerbcast.sources.standins import (
     EVENT_MONTH,
     ORDER_FIRST_MONTH,
@@ -64,8 +64,10 @@ def ev_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ev_zoning(spark: SparkSession, sf_dir: str) -> Zoning:
-    return zoning_from_centres(ev_partials(spark, sf_dir), lattice_centroids(spark), CENTRES)
+def ev_zoning(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Zoning]:
+    """The event month's partials, read several times from here on, and its zoning."""
+    partials = settle(ev_partials(spark, sf_dir))
+    return partials, zoning_from_centres(partials, lattice_centroids(spark), CENTRES)
 
 
 def scratch(spark: SparkSession) -> str:

@@ -86,7 +86,7 @@ def d3(spark, sf_dir):
 
 @register("i4_d4_c10_feature_rows", with_("ev_features") + "SELECT * FROM ev_features")
 def i4(spark, sf_dir):
-    return feature_rows(ev_partials(spark, sf_dir), ev_zoning(spark, sf_dir))
+    return feature_rows(*ev_zoning(spark, sf_dir))
 
 
 @register("e6_f2_profile_with_fallback", with_("ev_profile") + "SELECT * FROM ev_profile")

@@ -31,6 +31,7 @@ from kerbcast.plans.forecast import (
     train,
     zoning_from_centres,
 )
+from kerbcast.session import settle
 from kerbcast.sources.standins import lattice_centroids, table
 
 register = Section()
@@ -477,8 +478,7 @@ def e15_fitted(spark, sf_dir):
 
 @register("i5_i6_boosted_trees_scores")
 def i5(spark, sf_dir):
-    partials, zoning = ev_partials(spark, sf_dir), ev_zoning(spark, sf_dir)
-    rows = feature_rows(partials, zoning)
+    rows = settle(feature_rows(*ev_zoning(spark, sf_dir)))
     cut = F.lit("2024-01-22").cast("date")
     fitted = BoostedTrees(QUICK_TREES).fit(rows.filter(F.col("date") < cut))
     return error_metrics(fitted.predict(rows.filter(F.col("date") >= cut)))

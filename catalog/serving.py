@@ -130,7 +130,7 @@ block(
 
 
 def _bundle(spark, sf_dir):
-    partials, zoning = ev_partials(spark, sf_dir), ev_zoning(spark, sf_dir)
+    partials, zoning = ev_zoning(spark, sf_dir)
     fitted = WeekdayMean().fit(feature_rows(partials, zoning))
     metadata = {
         "metrics": {},
@@ -189,7 +189,8 @@ def a13(spark, sf_dir):
 def i12_features(spark, sf_dir):
     valid, _ = serving.split_requests(_requests(spark, sf_dir), N_ZONES)
     resolved = serving.resolve_requests(valid, CENTRES, _as_of())
-    features = serving.request_features(resolved, ev_zoning(spark, sf_dir).profile)
+    _, zoning = ev_zoning(spark, sf_dir)
+    features = serving.request_features(resolved, zoning.profile)
     return features.drop("lat", "lng")
 
 
@@ -249,7 +250,7 @@ def i15(spark, sf_dir):
 
 @register("i12_i14_boosted_tree_predictions")
 def i12_trees(spark, sf_dir):
-    zoning = ev_zoning(spark, sf_dir)
+    partials, zoning = ev_zoning(spark, sf_dir)
     params = {
         "n_estimators": 4,
         "num_leaves": 15,
@@ -257,7 +258,7 @@ def i12_trees(spark, sf_dir):
         "subsample": 1.0,
         "colsample_bytree": 1.0,
     }
-    fitted = BoostedTrees(params).fit(feature_rows(ev_partials(spark, sf_dir), zoning))
+    fitted = BoostedTrees(params).fit(feature_rows(partials, zoning))
     predictions, _ = serving.predict_requests(
         _requests(spark, sf_dir), zoning, fitted, _as_of(), ["event_id"]
     )

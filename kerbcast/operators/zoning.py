@@ -52,7 +52,7 @@ def fit_centres(
         raise ValueError(f"{n_zones} zones need at least as many distinct points, got {n_points}")
     if n_points <= S.KMEANS_SINGLE_PARTITION_ROWS and weight is not None:
         points = points.coalesce(1).sortWithinPartitions(*columns)
-    kmeans = KMeans(k=n_zones, seed=seed, maxIter=300, tol=1e-4, initSteps=5)
+    kmeans = KMeans(k=n_zones, seed=seed, maxIter=300, tol=1e-4)
     if weight is not None:
         kmeans = kmeans.setWeightCol(weight)
         points = points.withColumn(weight, F.col(weight).cast("double"))
