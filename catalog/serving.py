@@ -112,7 +112,7 @@ def c12_local(spark, sf_dir):
 )
 def c11(spark, sf_dir):
     trained = table(spark, sf_dir, "events").select(
-        "event_id", F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts")).alias("at")
+        "event_id", F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).alias("at")
     )
     # Stored instants are TIMESTAMP; readings of the stand-in table are taken as UTC.
     bundles = trained.select("event_id", F.to_timestamp(F.col("at")).alias("trained_at"))
