@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import ev_partials, ev_zoning, or_partials
+from catalog.common import ev_zoning, or_partials
 from catalog.section import Section
 from catalog.sql import block, exact_mean, lattice_centres, metrics, nearest, with_
 from kerbcast import settings as S
@@ -461,18 +461,18 @@ def i7_evaluate(spark, sf_dir):
 
 @register("i1_weighted_kmeans_zones")
 def i1(spark, sf_dir):
-    points = pickup_points(ev_partials(spark, sf_dir), lattice_centroids(spark))
+    points = pickup_points(or_partials(spark, sf_dir), lattice_centroids(spark))
     return assign_zones(points, fit_centres(points))
 
 
 @register("i3_fit_zoning_profile")
 def i3(spark, sf_dir):
-    return fit_zoning(ev_partials(spark, sf_dir), lattice_centroids(spark)).profile
+    return fit_zoning(or_partials(spark, sf_dir), lattice_centroids(spark)).profile
 
 
 @register("e15_kmeans_inertia")
 def e15_fitted(spark, sf_dir):
-    points = pickup_points(ev_partials(spark, sf_dir), lattice_centroids(spark))
+    points = pickup_points(or_partials(spark, sf_dir), lattice_centroids(spark))
     return inertia(points, fit_centres(points))
 
 
