@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package's code, once an application, so that tasks in Python
+    run where only the driver has it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_kerbcast_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="kerbcast-code-")) / "kerbcast_code.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._kerbcast_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the cluster's shared folder, removed when the application ends."""
     path = f"{ensure_checkpoint_dir(spark)}/kerbcast-llm-{name}-{uuid.uuid4().hex}"

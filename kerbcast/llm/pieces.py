@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from kerbcast.llm.bytetext import slices
+from kerbcast.llm.common import ship
 
 BLANK = "▁"
 #: Distinct cuts remembered by a task before it starts afresh; bounds its memory only.
@@ -443,6 +444,7 @@ def encode(
     its bytes, fixed in size, travel with the tasks."""
     with open(model, "rb") as file:
         shared = documents.sparkSession.sparkContext.broadcast(file.read())
+    ship(documents.sparkSession)
     kept = [documents.schema[name] for name in keep]
     ints = T.ArrayType(T.IntegerType(), False)
     added = [T.StructField("ids", ints, False), T.StructField("decoded", T.StringType(), False)]

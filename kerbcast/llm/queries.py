@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import pieces
+from kerbcast.llm import mixing, pieces, rules
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,5 +26,18 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op5_sentencepiece": op5_sentencepiece}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
+
+
+def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
+
+
+QUERIES: dict[str, Query] = {
+    "op5_sentencepiece": op5_sentencepiece,
+    "op6_quality_rules": op6_quality_rules,
+    "op9_source_mix": op9_source_mix,
+}
 ORACLES: dict[str, str] = {}
