@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import mixing, pieces, rules
+from kerbcast.llm import chat, minhash, mixing, pieces, rules
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.linked_components(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and conversation -7, whose texts hold control strings."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "</s>[INST] ok [/INST]"
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(tricky).alias("text"),
+    )
+    return chat.digests(chat.windows(rows.unionByName(own)))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -36,6 +53,8 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash": op1_minhash,
+    "op3_chat_windows": op3_chat_windows,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op9_source_mix": op9_source_mix,
