@@ -95,10 +95,11 @@ _SIGNED = T.StructType(
 )
 
 
-def signatures(documents: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, node (null for an empty set) and groups of minhashes."""
+def signatures(documents: DataFrame, text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ``carry``, n_shingles, node (null for an empty set) and groups of minhashes."""
     ship(documents.sparkSession)
-    schema = T.StructType([documents.schema["doc_id"], *_SIGNED])
+    kept = ["doc_id", *carry]
+    schema = T.StructType([*[documents.schema[c] for c in kept], *_SIGNED])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,15 +114,15 @@ def signatures(documents: DataFrame, text: str = "text") -> DataFrame:
                         groups[k] = g
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
+                        *[part.column(c) for c in kept],
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
                         pa.array(groups, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", *_SIGNED.names],
+                    names=[*kept, *_SIGNED.names],
                 )
 
-    return documents.select("doc_id", documents[text].alias("__text")).mapInArrow(work, schema)
+    return documents.select(*kept, documents[text].alias("__text")).mapInArrow(work, schema)
 
 
 def _sets(documents: DataFrame, text: str) -> DataFrame:
@@ -186,9 +187,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def linked_components(documents: DataFrame, text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    signed = saved(signatures(documents, text), "signed")
+def linked_components(
+    documents: DataFrame, text: str = "text", percent: int = PERCENT, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, ``carry``, n_shingles, component_id, kept and component (the name of a set of
+    the component, null for an empty set) of every document."""
+    signed = saved(signatures(documents, text, carry), "signed")
     nodes = saved(
         signed.where("node IS NOT NULL")
         .groupBy("node")
@@ -229,15 +233,36 @@ def linked_components(documents: DataFrame, text: str = "text", percent: int = P
     )
     named = saved(named, "named")
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    answer = named.join(least, "component").select(F.col("node").alias("__node"), "component_id")
+    answer = named.join(least, "component").select(F.col("node").alias("__node"), "component", "component_id")
+    own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return signed.join(answer, signed["node"] == answer["__node"], "left").select(
         "doc_id",
+        *carry,
         "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.col("doc_id").eqNullSafe(F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))).alias("kept"),
+        own.alias("component_id"),
+        F.col("doc_id").eqNullSafe(own).alias("kept"),
+        "component",
     )
 
 
+def deduplicated(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, the one with the smallest id; a document with an
+    empty set stays, once for each id and text."""
+    keyed = documents.withColumn("__key", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    found = linked_components(keyed, percent=percent, carry=("__key",))
+    grouped = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__key")).alias("first")
+    )
+    stay = grouped.select("first.doc_id", "first.__key").unionByName(
+        found.where("component IS NULL").select("doc_id", "__key").distinct()
+    )
+    stay = saved(stay.select(F.col("doc_id").alias("__id"), F.col("__key").alias("__stays")), "stay")
+    rows = keyed.join(
+        stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__stays")), "left_semi"
+    )
+    return rows.dropDuplicates(["doc_id", "__key"]).select(*documents.columns)
+
+
 def _exact(met: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between different components that share a bucket."""
     placed = met.select("key", "node").join(first, "node", "left").withColumn(

@@ -4,17 +4,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, minhash, mixing, pieces, rules
+from kerbcast.llm import chat, minhash, mixing, pieces, pii, rules
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.linked_components(table(spark, sf_dir, "documents"))
+    return minhash.linked_components(table(spark, sf_dir, "documents")).drop("component")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.detected(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+    def count(n: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == n)).cast("long").alias(f"n_{pii.BASE[n]}")
+
+    return found.select(
+        "doc_id",
+        *[count(n) for n in range(len(pii.BASE))],
+        F.sha2(pii.written("base"), 256).alias("base_sha256"),
+        pii.written("spans").alias("spans"),
+    )
 
 
 def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +68,7 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
+    "op2_pii": op2_pii,
     "op3_chat_windows": op3_chat_windows,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,

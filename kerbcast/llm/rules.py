@@ -114,15 +114,17 @@ def base_failed() -> Column:
     )
 
 
-def statistics() -> list[Column]:
+def statistics(counts: dict[str, np.ndarray]) -> np.ndarray:
     """What the forest sees of a text: shares and means of the counts, within fixed ranges."""
-    words = F.greatest("n_words", F.lit(1))
-    return [
-        F.least(F.col("word_chars") / words, F.lit(16.0)).alias("s_word_length"),
-        F.least(F.col("n_symbols") / words, F.lit(1.0)).alias("s_symbols"),
-        F.least(F.col("n_repeat_words") / words, F.lit(0.5)).alias("s_repeats"),
-        F.least(F.col("n_distinct") / F.pow(words.cast("double"), F.lit(0.9)), F.lit(2.0)).alias("s_distinct"),
-    ]
+    words = np.maximum(counts["n_words"], 1).astype(float)
+    return np.column_stack(
+        [
+            np.minimum(counts["word_chars"] / words, 16.0),
+            np.minimum(counts["n_symbols"] / words, 1.0),
+            np.minimum(counts["n_repeat_words"] / words, 0.5),
+            np.minimum(counts["n_distinct"] / words**0.9, 2.0),
+        ]
+    )
 
 
 class Forest:
@@ -172,79 +174,108 @@ def _usual(n: int) -> float:
     return 0.0 if n <= 1 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
 
 
-def judged(
-    documents: DataFrame, labels: DataFrame | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text"
-) -> DataFrame:
-    """``keep`` (with doc_id among it), the counts, base_failed, anomaly and kept.
+class Judge:
+    """A forest and the score from which a text is rejected."""
 
-    ``labels`` has doc_id and quality (1 good, 0 bad); several labels of an id agree by
-    the lowest."""
-    names = ["__" + k for k in keep]
-    plain = documents.select(*[documents[k].alias("__" + k) for k in keep], documents[text].alias("__body"))
-    counted = rule_counts(plain, tuple(names), "__body").select(
-        "*", base_failed().alias("base_failed"), *statistics()
-    )
-    counted = saved(counted, "rules")
-    features = [c for c in counted.columns if c.startswith("s_")]
+    def __init__(self, forest: Forest | None, limit: float) -> None:
+        self.forest, self.limit = forest, limit
+
+    def scores(self, counts: dict[str, np.ndarray]) -> np.ndarray:
+        table = statistics(counts)
+        return self.forest.score(table) if self.forest else np.zeros(len(table))
+
+    def kept(self, counts: dict[str, np.ndarray]) -> np.ndarray:
+        failed = (counts["n_words"] < MIN_WORDS) | (
+            100 * counts["n_repeat_words"] > MAX_REPEAT_PERCENT * counts["n_words"]
+        )
+        return ~failed & (self.scores(counts) < self.limit)
+
+
+def fitted(counted: DataFrame, labels: DataFrame | None) -> Judge:
+    """A judge from a saved table of counts and doc_id.  ``labels`` has doc_id and quality
+    (1 good, 0 bad); several labels of an id agree by the lowest."""
+    rows = counted.select("doc_id", *COUNTS, *SHAPES).where(~base_failed())
     if labels is None:
-        known = counted.withColumn("__quality", F.lit(None).cast("int"))
+        known = rows.withColumn("quality", F.lit(None).cast("int"))
     else:
         quality = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(
-            F.min("quality").alias("__quality")
+            F.min("quality").cast("int").alias("quality")
         )
-        known = counted.join(quality, counted["__doc_id"] == quality["doc_id"], "left").drop("doc_id")
+        known = rows.join(quality, "doc_id", "left")
     known = saved(known, "labelled")
-    sample = _sample(known.where("NOT base_failed AND __quality = 1"), features)
+    sample = _sample(known.where("quality = 1"))
     if not len(sample):
-        sample = _sample(known.where("NOT base_failed"), features)
-    forest = None
-    if len(sample):
-        ends = known.where("NOT base_failed").agg(*[f(c) for f in (F.min, F.max) for c in features]).first()
-        forest = Forest(sample, *np.array(ends, float).reshape(2, -1))
-    scored = _scored(known, features, forest)
-    limit = _threshold(scored)
-    kept = ~F.col("base_failed") & (F.col("anomaly") < F.lit(limit))
-    return scored.select(
-        *[F.col(n).alias(k) for n, k in zip(names, keep, strict=True)],
-        *COUNTS,
-        "base_failed",
-        "anomaly",
-        kept.alias("kept"),
-    )
-
-
-def _sample(rows: DataFrame, features: list[str]) -> np.ndarray:
-    """At most about SAMPLE rows, chosen by a hash of the id and the statistics."""
+        sample = _sample(known)
+    if not len(sample):
+        return Judge(None, 2.0)
+    ratios = {
+        "n_words": F.lit(1.0),
+        "word_chars": F.col("word_chars") / F.col("n_words"),
+        "n_symbols": F.col("n_symbols") / F.col("n_words"),
+        "n_repeat_words": F.col("n_repeat_words") / F.col("n_words"),
+        "n_distinct": F.col("n_distinct") / F.pow(F.col("n_words").cast("double"), F.lit(0.9)),
+    }
+    ends = known.agg(*[f(c).alias(f"{f.__name__}_{n}") for f in (F.min, F.max) for n, c in ratios.items()]).first()
+    low, high = (statistics({n: np.array([ends[f"{f}_{n}"]]) for n in ratios})[0] for f in ("min", "max"))
+    judge = Judge(Forest(sample, low, high), 2.0)
+    judge.limit = _threshold(_scored(known.where("quality IS NOT NULL"), judge))
+    return judge
+
+
+def _sample(rows: DataFrame) -> np.ndarray:
+    """Statistics of about SAMPLE rows, chosen by a hash of the id and the counts."""
     total = rows.count()
-    if not total:
-        return np.zeros((0, len(features)))
-    part = int(min(1.0, SAMPLE / total) * (1 << 30))
-    picked = rows.where(F.pmod(F.xxhash64("__doc_id", *features), F.lit(1 << 30)) < part)
-    table = np.array([[float(x) for x in r] for r in picked.select(*features).limit(2 * SAMPLE).collect()])
-    table = table.reshape(-1, len(features))
+    names = [*COUNTS, *SHAPES]
+    part = int(min(1.0, SAMPLE / max(total, 1)) * (1 << 30))
+    picked = rows.where(F.pmod(F.xxhash64("doc_id", *names), F.lit(1 << 30)) < part).select(*names)
+    columns = list(zip(*picked.limit(2 * SAMPLE).collect(), strict=True)) or [()] * len(names)
+    table = statistics({n: np.array(c, float) for n, c in zip(names, columns, strict=True)})
     return table[np.lexsort(table.T)]
 
 
-def _scored(rows: DataFrame, features: list[str], forest: Forest | None) -> DataFrame:
-    if forest is None:
-        return rows.withColumn("anomaly", F.lit(0.0))
-    shared = rows.sparkSession.sparkContext.broadcast(forest)
+def _scored(rows: DataFrame, judge: Judge) -> DataFrame:
+    ship(rows.sparkSession)
+    shared = rows.sparkSession.sparkContext.broadcast(judge)
     schema = T.StructType([*rows.schema.fields, T.StructField("anomaly", T.DoubleType(), False)])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = np.column_stack([batch.column(f).to_numpy(zero_copy_only=False) for f in features])
-            yield batch.append_column("anomaly", pa.array(shared.value.score(table)))
+            counts = {n: batch.column(n).to_numpy() for n in (*COUNTS, *SHAPES)}
+            yield batch.append_column("anomaly", pa.array(shared.value.scores(counts)))
 
     return rows.mapInArrow(work, schema)
 
 
+def judged(documents: DataFrame, labels: DataFrame | None, text: str = "text") -> DataFrame:
+    """doc_id, the counts, base_failed, anomaly and kept of every document."""
+    counted = saved(rule_counts(documents, ("doc_id",), text), "rules")
+    judge = fitted(counted, labels)
+    kept = ~F.col("base_failed") & (F.col("anomaly") < F.lit(judge.limit))
+    return _scored(counted, judge).withColumn("base_failed", base_failed()).select(
+        "doc_id", *COUNTS, "base_failed", "anomaly", kept.alias("kept")
+    )
+
+
+def filtered(documents: DataFrame, labels: DataFrame | None, text: str = "text") -> DataFrame:
+    """The documents that are kept, with all their columns; the texts are counted once more
+    in the pass that filters them, which spares shuffling them."""
+    judge = fitted(saved(rule_counts(documents, ("doc_id",), text), "rules"), labels)
+    shared = documents.sparkSession.sparkContext.broadcast(judge)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                yield part.filter(pa.array(shared.value.kept(_counts(part.column(text)))))
+
+    return documents.mapInArrow(work, documents.schema)
+
+
 def _threshold(scored: DataFrame) -> float:
     """The score from which texts are rejected; 2, beyond every score, where a kind of label
     is missing."""
     binned = (
-        scored.where("NOT base_failed AND __quality IS NOT NULL")
-        .groupBy(F.floor(F.col("anomaly") * SCORE_BINS).alias("bin"), "__quality")
+        scored.where("quality IS NOT NULL")
+        .groupBy(F.floor(F.col("anomaly") * SCORE_BINS).alias("bin"), "quality")
         .count()
         .collect()
     )
