@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, minhash, mixing, pieces, pii, rules
+from kerbcast.llm import chat, minhash, mixing, neighbours, pieces, pii, rules
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(rows.unionByName(own)))
 
 
+def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
     "op3_chat_windows": op3_chat_windows,
+    "op4_quality_votes": op4_quality_votes,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
     "op9_source_mix": op9_source_mix,
