@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, hashing, minhash, mixing, neighbours, pieces, pii, rules
+from kerbcast.llm import chat, hashing, minhash, mixing, neighbours, pieces, pii, rules, suffixes
 from kerbcast.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *rules.COUNTS, "base_failed", "kept", "anomaly")
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats_removed(table(spark, sf_dir, "documents"))
+
+
 def op8_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hashing.linked_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_votes": op4_quality_votes,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_quality_rules": op6_quality_rules,
+    "op7_repeats": op7_repeats,
     "op8_vector_links": op8_vector_links,
     "op9_source_mix": op9_source_mix,
 }
