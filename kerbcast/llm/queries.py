@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, hashing, minhash, mixing, neighbours, pieces, pii, rules, suffixes
-from kerbcast.llm.common import table
+from kerbcast.llm import chat, hashing, minhash, mixing, neighbours, pieces, pii, rollup, rules, suffixes
+from kerbcast.llm.common import WORD, saved, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,46 @@ def op9_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).drop("source")
 
 
+#: Words with a letter or digit, the revised count of the word tokenizer.
+_SOUND = r"[^\x20\x09-\x0D]*[A-Za-z0-9][^\x20\x09-\x0D]*"
+
+
+def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents: a load with two tokenizers (words, and
+    bytes), the deletion of exact copies, revised word counts for what is left, and the
+    deletion sent once more, which must change nothing."""
+    text = F.coalesce("text", F.lit(""))
+    docs = saved(
+        table(spark, sf_dir, "documents").select(
+            "doc_id",
+            "source",
+            "lang",
+            F.sha2(text, 256).alias("body"),
+            F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
+            F.regexp_count(text, F.lit(_SOUND)).cast("long").alias("sound"),
+            F.octet_length(text).cast("long").alias("bytes"),
+        ),
+        "counted",
+    )
+    firsts = docs.groupBy("body").agg(F.min("doc_id").alias("first"))
+    marked = saved(docs.join(firsts, "body").withColumn("copy", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))), "marked")
+
+    def counts(rows: DataFrame) -> DataFrame:
+        kinds = F.array(
+            F.struct(F.lit("words-1").alias("version"), F.col("words").alias("tokens"), F.col("sound").alias("revised")),
+            F.struct(F.lit("bytes-1").alias("version"), F.col("bytes").alias("tokens"), F.col("bytes").alias("revised")),
+        )
+        return rows.select("source", "lang", F.explode(kinds).alias("k")).select("source", "lang", "k.*")
+
+    totals = rollup.TokenRollup(spark, shared_path(spark, "rollup"))
+    copies = rollup.deletes(counts(marked.where("copy")))
+    totals.commit("load", rollup.inserts(counts(docs)))
+    totals.commit("copies", copies)
+    totals.commit("recount", rollup.revisions(counts(marked.where("NOT copy")).where("version = 'words-1'")))
+    totals.commit("copies", copies)
+    return totals.totals()
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
@@ -88,5 +128,22 @@ QUERIES: dict[str, Query] = {
     "op7_repeats": op7_repeats,
     "op8_vector_links": op8_vector_links,
     "op9_source_mix": op9_source_mix,
+    "op10_token_rollup": op10_token_rollup,
+}
+ORACLES: dict[str, str] = {
+    "op10_token_rollup": f"""
+        WITH docs AS (
+            SELECT doc_id, source, lang, coalesce(text, '') AS body,
+                   min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first
+            FROM documents
+        ), kept AS (
+            SELECT source, lang, body FROM docs WHERE NOT coalesce(doc_id > first, false)
+        ), counted AS (
+            SELECT source, lang, 'words-1' AS version, len(regexp_extract_all(body, '{_SOUND}')) AS tokens FROM kept
+            UNION ALL
+            SELECT source, lang, 'bytes-1', strlen(body) FROM kept
+        )
+        SELECT source, lang, version, count(*)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens
+        FROM counted GROUP BY source, lang, version
+    """,
 }
-ORACLES: dict[str, str] = {}
