@@ -270,7 +270,8 @@ def detected(documents: DataFrame, text: str = "text") -> DataFrame:
 def redacted(documents: DataFrame) -> DataFrame:
     """``documents`` with every span of personal data replaced by its kind in brackets;
     overlapping spans go together under the first one's kind.  n_chars is the new length."""
-    found = detected(documents)
+    own = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["text"].alias("text"))
+    found = detected(own)
     order = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"], s["kind"])))
 
     def join(merged: Column, s: Column) -> Column:
@@ -292,10 +293,11 @@ def redacted(documents: DataFrame) -> DataFrame:
     tail = F.substring(F.col("text"), (F.element_at("__merged", -1)["end"] + 1).cast("int"), F.length("text"))
     clean = F.concat(F.array_join(F.transform("__merged", piece), ""), tail)
     rows = rows.withColumn("text", F.when(F.size("__merged") > 0, clean).otherwise(F.col("text")))
+    new = {"text": F.col("text")}
     if "n_chars" in documents.columns:
         changed = F.length("text").cast(documents.schema["n_chars"].dataType)
-        rows = rows.withColumn("n_chars", F.when(F.size("__merged") > 0, changed).otherwise(F.col("n_chars")))
-    return rows.select(*documents.columns)
+        new["n_chars"] = F.when(F.size("__merged") > 0, changed).otherwise(F.col("row")["n_chars"])
+    return rows.select(*[new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])
 
 
 def written(spans: str) -> Column:
