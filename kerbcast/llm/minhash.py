@@ -287,16 +287,19 @@ def _exact(met: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> D
             F.any_value("n").alias("n"),
             F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"),
         )
+        .withColumn("own", F.col("n") - F.size("shared"))  # shingles no other open node has
     )
     needed = F.ceil(F.col("n") * percent / 100)
-    own = F.col("n") - F.size("shared")  # shingles no other open node has
-    rare = F.greatest(F.col("n") - needed + 1 - own, F.lit(0)).cast("int")
+    rare = F.greatest(F.col("n") - needed + 1 - F.col("own"), F.lit(0)).cast("int")
     probes = ranked.select(
-        "node", "component", "n", F.size("shared").alias("m"), F.explode(F.slice("shared", F.lit(1), rare)).alias("t")
-    ).select("node", "component", "n", "m", F.col("t.token").alias("token"))
+        "node", "component", "n", "own", F.size("shared").alias("m"),
+        F.posexplode(F.slice("shared", F.lit(1), rare)).alias("at", "t"),
+    ).select("node", "component", "n", "m", F.col("t.token").alias("token"), (F.col("n") - F.col("own") - F.col("at")).alias("left"))
     x = probes.select(*[F.col(c).alias(f"x_{c}" if c != "token" else c) for c in probes.columns])
     y = probes.select(*[F.col(c).alias(f"y_{c}" if c != "token" else c) for c in probes.columns])
-    most = F.least("x_m", "y_m")  # the largest intersection possible
+    # The largest intersection possible, by what others have and by what comes from the
+    # shingle on: the first that two sets have in common leaves room for all they share.
+    most = F.least("x_m", "y_m", "x_left", "y_left")
     pairs = (
         x.join(y, "token")
         .where(
