@@ -333,7 +333,7 @@ def _saved(spark, registry, partials, end_month):
     )
     path = scratch(spark)
     save_bundle(spark, bundle, path)
-    run_id = registry.log_training_run(bundle.metadata, path)
+    run_id = registry.log_training_run(path)
     return path, run_id
 
 
@@ -346,7 +346,7 @@ def i18(spark, sf_dir):
     decisions = []
     for end_month in ("2001-06", "2001-07"):
         path, _ = _saved(spark, registry, partials, end_month)
-        decisions.append(L.promote(registry, path, partials, centroids, WeekdayMean()))
+        decisions.append(L.promote(registry, path, partials, centroids))
     registry.set_champion(1)
     out = scratch(spark)
     for decision in decisions:

@@ -43,15 +43,16 @@ def fit_centres(
     """K-means centres, ordered by coordinates so that zone numbers are repeatable.
 
     A point with weight w counts as w pickups, so the input is one row per location
-    however many trips there were.  Few points run on one partition, which makes the
-    initial draw independent of how the input happened to be split.
+    however many trips there were.  Points are dealt by their coordinates over a fixed
+    number of partitions and ordered in each, so the seeded draw of first centres does not
+    depend on how the input happened to be split.
     """
     columns = ["start_lat", "start_lng"]
-    n_points = points.select(*columns).distinct().limit(S.KMEANS_SINGLE_PARTITION_ROWS + 1).count()
+    n_points = points.select(*columns).distinct().limit(n_zones).count()
     if n_points < n_zones:
         raise ValueError(f"{n_zones} zones need at least as many distinct points, got {n_points}")
-    if n_points <= S.KMEANS_SINGLE_PARTITION_ROWS and weight is not None:
-        points = points.coalesce(1).sortWithinPartitions(*columns)
+    order = columns if weight is None else [*columns, weight]
+    points = points.repartition(S.FIT_PARTITIONS, *columns).sortWithinPartitions(*order)
     kmeans = KMeans(k=n_zones, seed=seed, maxIter=300, tol=1e-4)
     if weight is not None:
         kmeans = kmeans.setWeightCol(weight)

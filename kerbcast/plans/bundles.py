@@ -42,12 +42,23 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
     )
     if row["kind"] == "trees":
         model = GBTRegressionModel.load(f"{path}/trees")
-        fitted = FittedTrees(model, metadata["feature_order"])
+        fitted = FittedTrees(model, tuple(metadata["feature_order"]))
     else:
         fitted = FittedMean(spark.read.parquet(f"{path}/means"))
     return Bundle(zoning, fitted, metadata)
 
 
+def copy_files(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a bundle's files as they are (a handful of small ones)."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    here, there = hadoop.Path(source), hadoop.Path(target)
+    done = hadoop.FileUtil.copy(
+        here.getFileSystem(conf), here, there.getFileSystem(conf), there, False, conf
+    )
+    if not done:
+        raise OSError(f"{source} could not be copied to {target}")
+
+
 def bundle_files(spark: SparkSession, path: str) -> DataFrame:
     """SHA-256 of every stored file: ``file, sha256``."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)

@@ -80,5 +80,5 @@ GRID_MAX_CELLS_PER_DAY = 100_000
 PERCENTILE_MAX_DISTINCT = 1_000_000
 # Points held in one block of the pairwise distance sums.
 PAIRWISE_BLOCK = 1024
-# Distinct points up to which k-means runs on one partition, for repeatable centres.
-KMEANS_SINGLE_PARTITION_ROWS = 100_000
+# Partitions that fits with seeded draws use, whatever the input's size or split.
+FIT_PARTITIONS = 64
