@@ -16,15 +16,19 @@ _LOW_BITS = 20
 
 
 def exact_sum(
-    value: Column | str, per_unit: float = MICRO, over: WindowSpec | None = None
+    value: Column | str, per_unit: float = MICRO, over: WindowSpec | None = None, wide: bool = False
 ) -> Column:
     """Sum of ``value`` held in steps of ``1 / per_unit``; NULL if nothing is summed.
 
     Steps are 64-bit integers whose high and low parts are added apart, so that trillions
     of rows do not overflow while the work stays in generated code (a 38-digit decimal sum
-    measured seven times slower).  A single value beyond 64 bits raises.
+    measured seven times slower).  A single value beyond 64 bits raises; ``wide`` sums
+    such values, of up to 38 digits in all, as decimals.
     """
     value = F.col(value) if isinstance(value, str) else value
+    if wide:
+        steps = F.rint(value * F.lit(per_unit)).cast("decimal(38,0)")
+        return (F.sum(steps) if over is None else F.sum(steps).over(over)).cast("double") / F.lit(per_unit)
     steps = F.rint(value * F.lit(per_unit)).cast("bigint")
     parts = (F.shiftright(steps, _LOW_BITS), steps.bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
     high, low = (F.sum(part) if over is None else F.sum(part).over(over) for part in parts)
@@ -38,6 +42,6 @@ def exact_sum_or_zero(value: Column | str, per_unit: float = MICRO) -> Column:
     return F.coalesce(exact_sum(value, per_unit), F.lit(0.0))
 
 
-def exact_mean(value: Column | str, per_unit: float = MICRO) -> Column:
+def exact_mean(value: Column | str, per_unit: float = MICRO, wide: bool = False) -> Column:
     """Mean over non-missing values; NULL if there are none."""
-    return F.try_divide(exact_sum(value, per_unit), F.count(value))
+    return F.try_divide(exact_sum(value, per_unit, wide=wide), F.count(value))

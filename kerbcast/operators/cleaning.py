@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kerbcast import settings as S
 from kerbcast.functions.clock import minutes_between, shift_month, to_month
-from kerbcast.operators.lookups import fits_broadcast, lookup_join
+from kerbcast.operators.lookups import lookup_join
 
 CLEAN_COLUMNS = (
     "start_time",
@@ -101,9 +101,7 @@ def with_coordinates(trips: DataFrame, centroids: DataFrame) -> DataFrame:
     """Replace location ids by centre points.
 
     An unmapped pickup drops the row, an unmapped dropoff leaves its coordinates empty.
-    The lookup's size is checked once for both joins.
     """
-    small = fits_broadcast(centroids)
 
     def points(prefix: str, key: str) -> DataFrame:
         return centroids.select(
@@ -113,10 +111,10 @@ def with_coordinates(trips: DataFrame, centroids: DataFrame) -> DataFrame:
         )
 
     located = lookup_join(
-        trips, points("start", "pickup_location_id"), "pickup_location_id", "inner", small=small
+        trips, points("start", "pickup_location_id"), "pickup_location_id", "inner"
     )
     return lookup_join(
-        located, points("end", "dropoff_location_id"), "dropoff_location_id", "left", small=small
+        located, points("end", "dropoff_location_id"), "dropoff_location_id", "left"
     )
 
 

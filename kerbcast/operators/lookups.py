@@ -1,4 +1,4 @@
-"""Joins of large tables to lookups, with the broadcast decided by a size check."""
+"""Joins of large tables to lookups with unique keys."""
 
 from __future__ import annotations
 
@@ -7,51 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbcast import settings as S
+#: Rows of a table whose size follows from parameters, up to which it is always broadcast.
+SMALL_ROWS = 200_000
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = S.BROADCAST_MAX_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; stops reading one row past the limit."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def cells_fit_broadcast(n_zones: int, max_rows: int = S.BROADCAST_MAX_ROWS) -> bool:
+def cells_fit_broadcast(n_zones: int) -> bool:
     """Whether a table of one row per zone and hour is small: its size is known."""
-    return n_zones * 24 <= max_rows
-
-
-def salted_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[str], how: str, salts: int = S.JOIN_SALTS
-) -> DataFrame:
-    """Shuffle join that spreads every key over ``salts`` tasks.
-
-    A hot key's fact rows are dealt round-robin, so even exact copies are split, and each
-    lookup row is repeated once per salt.  Row numbers within a scan partition are stable
-    across task retries, which a random salt would not be.
-    """
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
-    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return (
-        facts.withColumn("_salt", salt)
-        .join(spread, [*on, "_salt"], how)
-        .drop("_salt")
-    )
+    return n_zones * 24 <= SMALL_ROWS
 
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int = S.BROADCAST_MAX_ROWS,
-    small: bool | None = None,
+    facts: DataFrame, lookup: DataFrame, on: str | Sequence[str], how: str = "inner", small: bool = False
 ) -> DataFrame:
-    """Join facts to a lookup with unique keys.
+    """Join facts to a lookup.
 
-    ``small`` carries the outcome of an earlier size check, or a bound that follows from
-    parameters; without it the lookup is counted first.
+    ``small`` tells that the lookup's size follows from parameters; then it is broadcast.
+    Otherwise the engine decides by bytes, again once the lookup is computed: a broadcast
+    within ``spark.sql.autoBroadcastJoinThreshold``, else a sort-merge join whose skewed
+    partitions are split.  Nothing is counted while the plan is built.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if fits_broadcast(lookup, max_rows) if small is None else small:
-        return facts.join(F.broadcast(lookup), keys, how)
-    return salted_join(facts, lookup, keys, how)
+    return facts.join(F.broadcast(lookup) if small else lookup, keys, how)

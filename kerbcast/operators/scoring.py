@@ -28,7 +28,7 @@ def error_metrics(
     scored = scored.filter(error.isNotNull())
     return scored.groupBy(*keys).agg(
         exact_mean(F.abs(error)).alias("mae"),
-        F.sqrt(exact_mean(error * error)).alias("rmse"),
+        F.sqrt(exact_mean(error * error, wide=True)).alias("rmse"),
         F.try_divide(exact_sum(F.abs(error)), F.sum(truth).cast("double")).alias("wape"),
         F.count("*").alias("n_test_rows"),
     )

@@ -81,7 +81,7 @@ def zone_map(centroids: DataFrame, centres: Centres) -> DataFrame:
 def inertia(points: DataFrame, centres: Centres) -> DataFrame:
     """Weighted squared distance of points to their own centre."""
     nearest = nearest_centre(F.col("start_lat"), F.col("start_lng"), centres)
-    return points.agg(exact_sum(nearest["d2"] * F.col("weight"), 1e9).alias("inertia"))
+    return points.agg(exact_sum(nearest["d2"] * F.col("weight"), 1e9, wide=True).alias("inertia"))
 
 
 def zone_rides(partials: DataFrame, zones: DataFrame, n_zones: int) -> DataFrame:
@@ -180,6 +180,6 @@ def weighted_silhouette(
     scored = per_point.withColumn("score", F.coalesce(score, F.lit(0.0)))
     return scored.agg(
         F.try_divide(
-            exact_sum(F.col("score") * F.col("weight"), 1e9), F.sum("weight").cast("double")
+            exact_sum(F.col("score") * F.col("weight"), 1e9, wide=True), F.sum("weight").cast("double")
         ).alias("silhouette")
     )

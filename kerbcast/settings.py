@@ -70,14 +70,8 @@ OBSTACLE_ABSENT = "the data for %s is not on disk to train a matching copy on"
 OBSTACLE_UNREADABLE = "the current model's file could not be loaded (%s)"
 
 # --- Plan limits (ours) --------------------------------------------------------------
-# A lookup side is broadcast only after a count shows it has at most this many rows.
-BROADCAST_MAX_ROWS = 200_000
-# Salt fan-out for lookups too large to broadcast.
-JOIN_SALTS = 64
 # Cells per day kept in one row while filling a dense grid.
 GRID_MAX_CELLS_PER_DAY = 100_000
-# Distinct values up to which the built-in exact percentile is used directly.
-PERCENTILE_MAX_DISTINCT = 1_000_000
 # Points held in one block of the pairwise distance sums.
 PAIRWISE_BLOCK = 1024
 # Partitions that fits with seeded draws use, whatever the input's size or split.

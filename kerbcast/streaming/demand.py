@@ -15,14 +15,18 @@ UPDATE_SCHEMA = (
 )
 
 
-def hourly_partials(trips: DataFrame, lateness: str = "2 hours") -> DataFrame:
+def hourly_partials(trips: DataFrame, lateness: str | None = None) -> DataFrame:
     """Partials of a stream of measured trips, per location and hour.
 
     Event time needs a TIMESTAMP, so the wall clock is read as UTC; the session time zone
-    must be UTC.  Rows later than the watermark are dropped, and so is an hour's state.
+    must be UTC.  Every row counts, however late: the state is one row per location and
+    hour.  With a ``lateness``, an hour's state is dropped once the stream is that far past
+    it, and so are rows that come later.
     """
     timed = trips.withColumn("_at", F.col("start_time").cast("timestamp"))
-    grouped = timed.withWatermark("_at", lateness).groupBy(
+    if lateness is not None:
+        timed = timed.withWatermark("_at", lateness)
+    grouped = timed.groupBy(
         F.window("_at", "1 hour").alias("_hour"), "pickup_location_id"
     )
     sums = grouped.agg(
@@ -42,7 +46,7 @@ def hourly_partials(trips: DataFrame, lateness: str = "2 hours") -> DataFrame:
 
 
 def run_hourly_partials(
-    trips: DataFrame, out: str, checkpoint: str, lateness: str = "2 hours"
+    trips: DataFrame, out: str, checkpoint: str, lateness: str | None = None
 ) -> StreamingQuery:
     """Append every changed row to ``out``, one folder per batch, and stop at the end.
 

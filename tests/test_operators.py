@@ -8,11 +8,12 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from kerbcast.functions.exact import exact_sum
 from kerbcast.functions.clock import parse_month, shift_month, to_month
 from kerbcast.functions.geo import great_circle_km, nearest_centre
 from kerbcast.operators import baselines, bootstrap, quality, scoring, zoning
-from kerbcast.operators.lookups import lookup_join, salted_join
-from kerbcast.operators.order_stats import exact_quantiles, value_at_rank
+from kerbcast.operators.lookups import lookup_join
+from kerbcast.operators.order_stats import exact_quantiles, value_at_rank, values_at_ranks
 from kerbcast.operators.periods import fold_windows, complete_folds, present_window, window_months
 from kerbcast.operators.polygons import polygon_centroids
 
@@ -27,43 +28,22 @@ def months_table(spark, names):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join_with_a_hot_key(spark, how):
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_lookups_join_the_same_whether_broadcast_or_not(spark, how, threshold):
     facts = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).cast("int").alias("k"),
-        (F.col("id") % 2).alias("copy"),  # many exact copies
+        (F.col("id") % 2).alias("copy"),
     )
     lookup = spark.range(40).select(F.col("id").cast("int").alias("k"), (F.col("id") * 2).alias("v"))
-    plain = facts.join(lookup, "k", how).groupBy("k", "copy", "v").count()
-    salted = salted_join(facts, lookup, ["k"], how, salts=8).groupBy("k", "copy", "v").count()
-    assert sorted(map(str, plain.collect())) == sorted(map(str, salted.collect()))
-
-
-def test_salting_splits_a_hot_key(spark):
-    facts = spark.range(0, 8000, 1, 4).select(F.lit(7).alias("k"))
-    lookup = spark.createDataFrame([(7, 1)], "k int, v int")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        joined = salted_join(facts, lookup, ["k"], "inner", salts=16)
-        parts = joined.groupBy(F.spark_partition_id()).count().collect()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert len(parts) == 4 and max(row["count"] for row in parts) < 8000 * 0.6
-
-
-def test_lookups_are_broadcast_only_within_the_limit(spark):
-    facts = spark.range(100).select((F.col("id") % 5).alias("k"))
-    lookup = spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("v"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for limit, expected in ((5, True), (4, False)):
-            joined = lookup_join(facts, lookup, "k", max_rows=limit)
-            plan = joined._jdf.queryExecution().executedPlan().toString()
-            assert ("BroadcastHashJoin" in plan) is expected
-            assert joined.count() == 100
+        joined = lookup_join(facts, lookup, "k", how)
+        hinted = lookup_join(facts, lookup, "k", how, small=True)
+        rows = sorted(map(str, joined.collect()))
+        assert rows == sorted(map(str, hinted.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert len(rows) == sum(1 for i in range(3000) if how == "left" or i % 3 == 0 or i % 50 < 40)
 
 
 # --- ranks and quantiles -------------------------------------------------------------
@@ -80,13 +60,32 @@ def test_value_at_rank_matches_sorting(spark, values, data):
     assert smaller == sum(v < found for v in values)
 
 
-@pytest.mark.parametrize("limit", [10, 1_000_000])
-def test_exact_quantiles_both_ways(spark, limit):
+def test_ranks_of_neighbouring_and_extreme_numbers(spark):
+    ids = [2**60, 2**60 + 1, 2**60 + 2, -(2**63), 2**63 - 1]
+    df = spark.createDataFrame([(v,) for v in ids], "x bigint")
+    found = values_at_ranks(df, {"x": [1, 2, 3, 4, 5]})
+    assert [found["x", r] for r in range(1, 6)] == [(v, k) for k, v in enumerate(sorted(ids))]
+    doubles = [-1.7e308, 1.7e308, 0.0, 5e-324, 1e-320, 1.0, math.nextafter(1.0, 2.0)]
+    df = spark.createDataFrame([(v,) for v in doubles], "x double")
+    found = values_at_ranks(df, {"x": list(range(1, 8))})
+    assert [found["x", r][0] for r in range(1, 8)] == sorted(doubles)
+
+
+def test_exact_quantiles_equal_the_built_in_percentile(spark):
     rng = random.Random(3)
     values = [rng.gauss(0, 50) for _ in range(700)] + [1.25] * 400
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
-    found = exact_quantiles(df, ["x"], [0.25, 0.5, 0.9], max_distinct=limit)["x"]
-    assert found == pytest.approx(np.quantile(values, [0.25, 0.5, 0.9]), rel=1e-12)
+    df = spark.createDataFrame([(v, int(v), None) for v in values] + [(None, None, None)], "x double, y int, z double")
+    wanted = [0.0, 0.25, 0.5, 0.9, 1.0]
+    found = exact_quantiles(df, ["x", "y", "z"], wanted)
+    for name in ("x", "y"):
+        assert found[name] == df.agg(F.percentile(name, F.array(*map(F.lit, wanted)))).first()[0]
+    assert found["z"] == [None] * 5
+
+
+def test_sums_of_huge_weights(spark):
+    df = spark.createDataFrame([(3e12, 1.5), (1.0, 2.0)], "weight double, score double")
+    total = df.agg(exact_sum(F.col("weight") * F.col("score"), 1e9, wide=True)).first()[0]
+    assert total == 4.5e12 + 2
 
 
 def test_chronological_split_breaks_ties_by_id(spark):

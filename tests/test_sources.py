@@ -140,8 +140,8 @@ def test_streamed_partials_equal_batch(spark, month_trips, tmp_path):
     )
     measured = measure_trips(normalize_trips(stream), "2026-06")
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    # The latest file may be read first, so the watermark spans the whole set.
-    run_hourly_partials(measured, out, checkpoint, "10 days").awaitTermination()
+    # Files may be read in any order; no row is too late.
+    run_hourly_partials(measured, out, checkpoint).awaitTermination()
     streamed = current_partials(spark, out)
     batch = location_hour_daily(measure_trips(normalize_trips(trips), "2026-06"))
     assert sorted(map(tuple, streamed.select(batch.columns).collect())) == sorted(
