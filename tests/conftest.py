@@ -60,28 +60,30 @@ def make_partials(spark):
 
 @pytest.fixture(scope="session")
 def grid_centroids(spark):
-    """Thirty locations on a 6 x 5 lattice inside the service area."""
-    n = F.col("location_id") - 1
+    """Thirty places on three circles around a point of the service area."""
+    turn = F.col("location_id") * 2.399963
+    reach = F.lit(0.03) + F.col("location_id") % 3 * 0.05
     return spark.range(1, 31, 1, 1).select(
         F.col("id").cast("int").alias("location_id"),
-        F.format_string("Zone %d", "id").alias("zone"),
-        F.lit("Test").alias("borough"),
+        F.format_string("Place %d", "id").alias("zone"),
+        F.lit("Here").alias("borough"),
     ).select(
         "*",
-        (F.lit(40.55) + F.lit(0.06) * (n % 6)).alias("lat"),
-        (F.lit(-74.15) + F.lit(0.1) * F.floor(n / 6)).alias("lng"),
+        (F.lit(40.68) + reach * F.sin(turn)).alias("lat"),
+        (F.lit(-73.96) + reach * F.cos(turn)).alias("lng"),
     )
 
 
 @pytest.fixture(scope="session")
 def month_trips(spark):
-    """Raw trips of whole months: every day covered, low ids busier, weekends double."""
+    """Raw trips of whole months: every day covered, low ids busier, two weekdays busier by
+    half."""
 
     def build(first, days, per_day=60):
         start = dt.date.fromisoformat(first)
         hashed = F.xxhash64("day", "n")
-        weekend = F.weekday("day") >= 5
-        slots = F.sequence(F.lit(1), F.when(weekend, 2 * per_day).otherwise(per_day))
+        busy = F.weekday("day").isin(1, 4)
+        slots = F.sequence(F.lit(1), F.when(busy, per_day * 3 // 2).otherwise(per_day))
         rows = (
             spark.range(days)
             .select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("day"))

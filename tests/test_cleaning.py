@@ -1,3 +1,8 @@
+"""Cleaning against its rules, written out in plain Python, on cases made from the limits."""
+
+import datetime as dt
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,84 +11,100 @@ from kerbcast.functions.clock import minutes_between
 from kerbcast.operators import cleaning as C
 from kerbcast.sources.trips import normalize_trips
 
-# (pickup, minutes, miles, from, to, fare) -> expected (minutes, miles), or None if dropped.
-CASES = [
-    (("2026-08-01 07:10", 10, 1.0, 1, 2, 9.0), (10, 1.0)),
-    (("2026-08-02 09:00", 20, 2.0, 2, 3, 14.0), (20, 2.0)),
-    (("2026-08-03 17:45", 30, 3.0, 3, 1, 21.0), (30, 3.0)),
-    (("2026-09-01 00:00", 10, 1.0, 1, 2, 9.0), None),  # the first instant of the next month
-    (("2026-07-31 23:59", 10, 1.0, 1, 2, 9.0), None),
-    (("2026-08-04 07:10", 10, 1.0, 1, 2, -9.0), None),  # voided
-    (("2026-08-04 08:00", 0.5, 0.0, 1, 1, 3.0), None),  # false start
-    (("2026-08-04 08:30", -4, 0.0, 1, 1, 3.0), None),  # ends before it starts, no distance
-    (("2026-08-05 11:00", 10, 1.0, 99, 1, 9.0), None),  # unmapped pickup
-    (("2026-08-06 12:00", 15, 5.0, 2, 99, 30.0), (15, 5.0)),  # unmapped dropoff
-    (("2026-08-07 13:00", 0, 2.5, 1, 2, 12.0), (None, 2.5)),  # speed undefined
-    (("2026-08-08 14:00", 15, 0.0, 2, 3, 13.0), (15, None)),
-    (("2026-08-09 15:00", 1439, 3.0, 3, 1, 20.0), (None, 3.0)),
-    (("2026-08-10 16:00", 20, 500.0, 1, 2, 9.0), (None, None)),
-    (("2026-08-11 17:00", 10, 30.0, 2, 3, 70.0), (None, None)),  # 180 mph
-    (("2026-08-12 18:00", 0.5, 5.0, 3, 1, 25.0), (None, None)),  # 600 mph
-    (("2026-08-13 19:00", 200, 3.0, 1, 2, 18.0), (None, 3.0)),
-    (("2026-08-14 20:00", 10, None, 1, 2, None), (10, None)),  # nothing recorded
-    (("2026-08-15 20:00", 10, float("nan"), 1, 2, float("nan")), (10, None)),
-    (("2026-08-16 20:00", None, 0.0, 1, 2, 5.0), (None, None)),  # no end: not a false start
-    (("2026-08-17 20:00", 1, 0.1, 1, 2, 5.0), (1, 0.1)),  # limits are inclusive
-    (("2026-08-18 20:00", 180, 60.0, 1, 2, 90.0), (180, 60.0)),
-    (("2026-08-31 23:59", 60, 70.0, 1, 2, 90.0), (60, None)),  # 70 mph is not too fast
-]
+MONTH = dt.date(2025, 11, 1)
+MAPPED, ELSEWHERE = (11, 12), 77
 
 
-@pytest.fixture(scope="module")
-def cleaned(spark, make_raw):
-    centroids = spark.createDataFrame(
-        [(i, f"Z{i}", "B", 40.5 + i / 10, -74.0) for i in (1, 2, 3)],
-        "location_id int, zone string, borough string, lat double, lng double",
-    )
-    raw = make_raw([row for row, _ in CASES])
-    return C.clean_trips(normalize_trips(raw), "2026-08", centroids)
+def around(limit, step):
+    return [limit - step, limit, limit + step]
 
 
-def test_only_uncountable_rows_are_dropped(cleaned):
-    days = [row["start_time"].day for row in C.in_start_order(cleaned).collect()]
-    assert days == [int(row[0][8:10]) for row, kept in CASES if kept is not None]
+MINUTES = [None, -3.0, 0.0, *around(S.MIN_DURATION_MIN, 0.5), 40.0, *around(S.MAX_DURATION_MIN, 0.5)]
+MILES = [None, float("nan"), 0.0, *around(S.MIN_DISTANCE_MILES, 0.05), 7.0, *around(S.MAX_DISTANCE_MILES, 0.5), 400.0]
+FARES = [None, float("nan"), -0.01, 0.0, 33.0]
+FAST = S.MAX_SPEED_MPH / 60  # miles in a minute
+SPEEDS = [(m, round(m * FAST + d, 6)) for m in (2.0, 30.0, 48.0) for d in (-0.01, 0.01)] + [(60.0, 70.0)]
 
 
-def test_implausible_measurements_are_blanked(cleaned):
-    rows = C.in_start_order(cleaned).collect()
-    expected = [kept for _, kept in CASES if kept is not None]
-    for row, (minutes, miles) in zip(rows, expected, strict=True):
-        assert row["ride_duration_min"] == (None if minutes is None else pytest.approx(minutes))
-        km = None if miles is None else pytest.approx(miles * S.KM_PER_MILE)
-        assert row["ride_distance_km"] == km
+def trips():
+    """(second of the month, minutes, miles, pickup, dropoff, fare)"""
+    places = itertools.cycle(itertools.product((*MAPPED, ELSEWHERE, None), repeat=2))
+    kinds = [(m, d, f) for m in MINUTES for d in MILES for f in (None, 33.0)]
+    kinds += [(m, d, f) for f in FARES for m, d in [(40.0, 7.0), (0.5, 0.0), (None, 0.0)]]
+    kinds += [(m, d, 5.0) for m, d in SPEEDS]
+    rows = [(60 * k, m, d, *next(places), f) for k, (m, d, f) in enumerate(kinds, 1)]
+    end = (dt.date(2025, 12, 1) - MONTH).days * 86400
+    return rows + [(at, 40.0, 7.0, 11, 12, 33.0) for at in (-1, 0, end - 1, end)]
+
+
+def known(x):
+    return x is not None and x == x
+
 
+def judged(trip):
+    """(minutes, miles) to trust, or None for a trip that does not count."""
+    at, minutes, miles, pickup, _, fare = trip
+    if not 0 <= at < 30 * 86400 or pickup not in MAPPED:
+        return None
+    if known(fare) and fare < 0:
+        return None
+    if minutes is not None and minutes < S.MIN_DURATION_MIN and miles == 0:
+        return None
+    fast = minutes is not None and minutes > 0 and known(miles) and miles / (minutes / 60) > S.MAX_SPEED_MPH
+    long_enough = minutes is not None and S.MIN_DURATION_MIN <= minutes <= S.MAX_DURATION_MIN
+    far_enough = known(miles) and S.MIN_DISTANCE_MILES <= miles <= S.MAX_DISTANCE_MILES
+    return (minutes if long_enough and not fast else None, miles if far_enough and not fast else None)
 
-def test_unmapped_dropoff_only_empties_its_coordinates(cleaned):
-    empty = cleaned.filter(F.col("end_lat").isNull()).collect()
-    assert [row["start_time"].day for row in empty] == [6]
-    assert empty[0]["end_lng"] is None and empty[0]["start_lat"] == pytest.approx(40.7)
+
+def raw_rows(make_raw, rows):
+    start = dt.datetime.combine(MONTH, dt.time())
+    real = lambda x: None if x is None else float(x)
+    return make_raw([(str(start + dt.timedelta(seconds=at)), real(m), real(d), p, q, real(f)) for at, m, d, p, q, f in rows])
+
+
+@pytest.fixture(scope="module")
+def cleaned(spark, make_raw):
+    places = [(i, f"Place {i}", "North", 40.6 + i / 100, -73.9 - i / 100) for i in MAPPED]
+    centroids = spark.createDataFrame(places, "location_id int, zone string, borough string, lat double, lng double")
+    return C.clean_trips(normalize_trips(raw_rows(make_raw, trips())), MONTH, centroids)
+
+
+def test_every_trip_follows_the_rules(cleaned):
+    start = dt.datetime.combine(MONTH, dt.time())
+    expected = {}
+    for trip in trips():
+        if (found := judged(trip)) is not None:
+            minutes, miles = found
+            km = None if miles is None else miles * S.KM_PER_MILE
+            end = None if trip[4] not in MAPPED else 40.6 + trip[4] / 100
+            expected[start + dt.timedelta(seconds=trip[0])] = (minutes, km, 40.6 + trip[3] / 100, end)
+    rows = C.in_start_order(cleaned).collect()
+    assert [r["start_time"] for r in rows] == sorted(expected)
+    for r in rows:
+        got = r["ride_duration_min"], r["ride_distance_km"], r["start_lat"], r["end_lat"]
+        assert got == pytest.approx(expected[r["start_time"]])
+        assert (r["end_lng"] is None) == (r["end_lat"] is None)
 
 
 def test_month_filter_reaches_the_scan(spark, make_raw, tmp_path):
     path = str(tmp_path / "raw")
-    make_raw([row for row, _ in CASES]).write.parquet(path)
-    trips = C.starts_in_period(normalize_trips(spark.read.parquet(path)), "2026-08")
-    plan = trips.select("start_time")._jdf.queryExecution().executedPlan().toString()
+    raw_rows(make_raw, trips()[:50]).write.parquet(path)
+    found = C.starts_in_period(normalize_trips(spark.read.parquet(path)), MONTH)
+    plan = found.select("start_time")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan
     assert "ReadSchema: struct<tpep_pickup_datetime:timestamp_ntz>" in plan
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_durations_ignore_the_session_zone(spark, make_raw, zone):
-    # 02:30 does not exist in New York on this night.
-    raw = normalize_trips(make_raw([("2026-03-08 02:30", 45, 1.0, 1, 2, 5.0)]))
+    # In the service area's zone, 02:20 does not exist on this night.
+    raw = normalize_trips(make_raw([("2025-03-09 02:20", 33, 1.0, 11, 12, 5.0)]))
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
         row = raw.select(
-            minutes_between(F.col("start_time"), F.col("end_time")).alias("m"),
-            F.hour("start_time").alias("h"),
+            minutes_between(F.col("start_time"), F.col("end_time")).alias("m"), F.hour("start_time").alias("h")
         ).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert (row["m"], row["h"]) == (45.0, 2)
+    assert (row["m"], row["h"]) == (33.0, 2)
