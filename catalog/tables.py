@@ -28,6 +28,13 @@ def _land(spark, sf_dir, path):
     landed.write.partitionBy("month").parquet(path)
 
 
+def _land_months(spark, sf_dir, path):
+    """The order trips in a folder for each of their months."""
+    month = F.date_format("tpep_pickup_datetime", "yyyy-MM")
+    landed = order_trips(spark, sf_dir).withColumn("month", month).repartition("month")
+    landed.write.partitionBy("month").parquet(path)
+
+
 @register(
     "a3_a11_centroid_csv",
     """SELECT CAST(s_suppkey AS INTEGER) AS location_id, s_name AS zone, n_name AS borough,
@@ -51,11 +58,11 @@ def a3(spark, sf_dir):
 
 @register(
     "a4_months_of_table",
-    "SELECT DISTINCT CAST(date_trunc('year', o_orderdate) AS DATE) AS month FROM orders",
+    "SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders",
 )
 def a4(spark, sf_dir):
     path = scratch(spark)
-    _land(spark, sf_dir, path)
+    _land_months(spark, sf_dir, path)
     return ingest.available_months(spark, path)
 
 
@@ -63,12 +70,12 @@ def a4(spark, sf_dir):
     "a5_month_pruned_scan",
     with_("or_raw") + """SELECT o_orderkey, start_time, end_time, pickup_location_id,
       dropoff_location_id, miles AS trip_distance_miles, fare_amount FROM or_raw
-      WHERE year(start_time) IN (1997, 1999)""",
+      WHERE strftime(start_time, '%Y-%m') IN ('1997-01', '1997-02', '1999-11')""",
 )
 def a5(spark, sf_dir):
     path = scratch(spark)
-    _land(spark, sf_dir, path)
-    return scan_trips(spark, path, ["1997-01", "1999-1"], keep=["o_orderkey"])
+    _land_months(spark, sf_dir, path)
+    return scan_trips(spark, path, ["1997-01", "1997-02", "1999-11"], keep=["o_orderkey"])
 
 
 @register(

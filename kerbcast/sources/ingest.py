@@ -94,28 +94,59 @@ def _schema_violations(path: str, schema: T.StructType) -> list[tuple[str, str,
 
 
 def checksum_columns(df: DataFrame) -> list[Column]:
-    """Row count and an order-free hash over every column: needs all data decoded."""
+    """Row count and an order-free hash over every column: needs all data decoded.  Hashes
+    are added, so that a row that occurs twice counts twice."""
     hashed = F.xxhash64(*[F.col(f"`{name}`") for name in df.columns])
-    return [F.count("*").alias("n_rows"), F.bit_xor(hashed).alias("hash")]
+    return [F.count("*").alias("n_rows"), F.sum(hashed.cast("decimal(38,0)")).alias("hash")]
 
 
 def checksum(df: DataFrame) -> dict:
     return df.agg(*checksum_columns(df)).first().asDict()
 
 
+#: What the engine says of a file that cannot be read as Parquet; any other failure (access,
+#: network, memory) is not the file's.
+_UNREADABLE = ("FAILED_READ_FILE", "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA", "not a Parquet file")
+
+
+def _unreadable(path: str, error: Exception) -> list[tuple[str, str, str, str]]:
+    """The violation that a failed read shows; an error of another kind is raised again."""
+    if not any(sign in str(error) for sign in _UNREADABLE):
+        raise error
+    return [(path, "unreadable", "", str(error).splitlines()[0])]
+
+
+def files_by_schema(spark: SparkSession, path: str) -> tuple[list[DataFrame], list]:
+    """The landed files, read together where their schemas are equal, and what is wrong
+    with the schema of any of them."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    groups: dict[str, list[str]] = {}
+    found = []
+    for row in listed.select("path").orderBy("path").collect():
+        try:
+            schema = spark.read.parquet(row["path"]).schema
+        except Exception as error:
+            found += _unreadable(row["path"], error)
+            continue
+        found += _schema_violations(row["path"], schema)
+        groups.setdefault(schema.json(), []).append(row["path"])
+    if not groups and not found:
+        found.append((path, "unreadable", "", "there are no files"))
+    return [spark.read.parquet(*files) for files in groups.values()], found
+
+
 def contract_violations(spark: SparkSession, path: str) -> DataFrame:
     """What is wrong with landed files: missing columns, wrong types, unreadable data.
 
-    Every column is decoded, used or not: a file's footer can be intact while its pages
-    are damaged.
+    Each file's schema is checked by itself, and every column is decoded, used or not: a
+    file's footer can be intact while its pages are damaged.
     """
-    try:
-        df = spark.read.parquet(path)
-        found = _schema_violations(path, df.schema)
-        if not found:
-            checksum(df)
-    except Exception as error:
-        found = [(path, "unreadable", "", str(error).splitlines()[0][:500])]
+    groups, found = files_by_schema(spark, path)
+    for group in groups if not found else []:
+        try:
+            checksum(group)
+        except Exception as error:
+            found += _unreadable(path, error)
     return spark.createDataFrame(found, VIOLATION_SCHEMA)
 
 
@@ -145,17 +176,16 @@ def publish_month(spark: SparkSession, landing: str, curated: str, month: dt.dat
     """
     source = f"{landing}/month={month:%Y-%m}"
     staged = f"{curated}_staging/month={month:%Y-%m}"
+    groups, found = files_by_schema(spark, source)
+    _raise_first(found)
+    wanted = to_curated(groups[0], month).drop("month")
+    for group in groups[1:]:
+        wanted = wanted.unionByName(to_curated(group, month).drop("month"), allowMissingColumns=True)
+    observed = Observation()
     try:
-        landed = spark.read.parquet(source)
-        _raise_first(_schema_violations(source, landed.schema))
-        wanted = to_curated(landed, month).drop("month")
-        observed = Observation()
-        observing = wanted.observe(observed, *checksum_columns(wanted))
-        observing.write.mode("overwrite").parquet(staged)
-    except ContractError:
-        raise
+        wanted.observe(observed, *checksum_columns(wanted)).write.mode("overwrite").parquet(staged)
     except Exception as error:
-        _raise_first([(source, "unreadable", "", str(error).splitlines()[0][:500])])
+        _raise_first(_unreadable(source, error))
     written = spark.read.parquet(staged).select(*wanted.columns)
     if checksum(written) != observed.get:
         raise ContractError(f"{staged} does not read back as written")
@@ -166,6 +196,8 @@ def publish_month(spark: SparkSession, landing: str, curated: str, month: dt.dat
         .partitionBy("month")
         .parquet(curated)
     )
+    done = spark._jvm.org.apache.hadoop.fs.Path(staged)
+    done.getFileSystem(spark._jsc.hadoopConfiguration()).delete(done, True)
 
 
 @dataclass

@@ -12,7 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbcast.functions.clock import parse_month
-from kerbcast.sources.ingest import available_months, publish_month
+from kerbcast.sources.ingest import ContractError, available_months, publish_month
+
+NOTE_SCHEMA = "batch_id long, month date, kind string, detail string"
 
 
 def landed_files(spark: SparkSession, landing: str) -> DataFrame:
@@ -29,20 +31,30 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Publish the months of files not seen before, then stop.
 
-    A month already curated is left alone, so replaying a batch after a crash is safe.
+    A month already curated is left alone, so replaying a batch after a crash is safe.  A
+    month that breaks the contract does not hold up the others: it is noted in the log at
+    ``curated`` + ``_rejected``, as are files that landed after their month was published.
     """
 
-    def publish(batch: DataFrame, _: int) -> None:
+    def publish(batch: DataFrame, batch_id: int) -> None:
         months = batch.select(parse_month("month").alias("month")).distinct()
-        fresh = months.join(available_months(spark, curated), "month", "left_anti")
-        for row in fresh.orderBy("month").collect():
-            publish_month(spark, landing, curated, row["month"])
+        curated_months = available_months(spark, curated).withColumn("known", F.lit(True))
+        notes = []
+        for row in months.join(curated_months, "month", "left").orderBy("month").collect():
+            if row["known"]:
+                notes.append((batch_id, row["month"], "late", "the month was already published"))
+                continue
+            try:
+                publish_month(spark, landing, curated, row["month"])
+            except ContractError as error:
+                notes.append((batch_id, row["month"], "violation", str(error)))
+        if notes:
+            log = spark.createDataFrame(notes, NOTE_SCHEMA).coalesce(1)
+            log.write.mode("overwrite").parquet(f"{curated}_rejected/batch={batch_id}")
 
     return (
         landed_files(spark, landing)
-        .groupBy("month")
-        .agg(F.count("*").alias("rows"))
-        .writeStream.outputMode("update")
+        .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(publish)

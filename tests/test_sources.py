@@ -118,6 +118,53 @@ def test_months_before_a_broken_one_stay_published(spark, folders, april):
     assert months(spark, curated) == [APRIL]
 
 
+def test_every_file_of_a_month_is_checked(spark, folders, april):
+    landing, curated = folders
+    folder = f"{landing}/month=2026-04"
+    april.coalesce(1).write.parquet(folder)
+    april.drop("fare_amount").coalesce(1).write.mode("append").parquet(folder)
+    found = ingest.contract_violations(spark, folder).collect()
+    assert [(r["rule"], r["column_name"]) for r in found] == [("missing_column", "fare_amount")]
+    with pytest.raises(ingest.ContractError, match="missing_column fare_amount"):
+        ingest.ingest_months(spark, landing, curated, "2026-04", "2026-04")
+    assert months(spark, curated) == []
+
+
+def test_files_of_a_month_may_differ_in_types_and_extras(spark, folders, april):
+    landing, curated = folders
+    folder = f"{landing}/month=2026-04"
+    april.coalesce(1).write.parquet(folder)
+    other = april.withColumn("PULocationID", F.col("PULocationID").cast("double")).withColumn("tip", F.lit(1.5))
+    other.coalesce(1).write.mode("append").parquet(folder)
+    ingest.ingest_months(spark, landing, curated, "2026-04", "2026-04")
+    table = ingest.read_table(spark, curated)
+    assert table.count() == 2 * april.count() and table.filter("tip = 1.5").count() == april.count()
+    assert not glob.glob(f"{curated}_staging/*")
+
+
+def test_a_pair_replaced_by_another_changes_the_checksum(spark):
+    one, other = (spark.createDataFrame([(x,), (x,), (3,)], "x int") for x in (1, 2))
+    assert ingest.checksum(one) != ingest.checksum(other)
+
+
+def test_other_failures_are_not_violations(spark):
+    with pytest.raises(PermissionError):
+        ingest._unreadable("somewhere", PermissionError("denied"))
+
+
+def test_a_broken_month_does_not_hold_up_the_stream(spark, folders, april, tmp_path):
+    landing, curated = folders
+    checkpoint = str(tmp_path / "checkpoint")
+    land(april.drop("fare_amount"), landing, APRIL)
+    land(april, landing, MAY)
+    ingest_stream(spark, landing, curated, checkpoint).awaitTermination()
+    assert months(spark, curated) == [MAY]
+    april.coalesce(1).write.mode("append").parquet(f"{landing}/month=2026-05")
+    ingest_stream(spark, landing, curated, checkpoint).awaitTermination()
+    notes = spark.read.parquet(f"{curated}_rejected").select("month", "kind").collect()
+    assert sorted(map(tuple, notes)) == [(APRIL, "violation"), (MAY, "late")]
+
+
 def test_stream_ingest_reads_new_files_once(spark, folders, april, tmp_path):
     landing, curated = folders
     checkpoint = str(tmp_path / "checkpoint")
