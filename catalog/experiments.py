@@ -12,7 +12,7 @@ from kerbcast.functions.clock import month_text, months_ending_at, parse_month,
 from kerbcast.functions.exact import exact_mean as mean
 from kerbcast.operators import periods as P
 from kerbcast.operators import scoring
-from kerbcast.operators.partials import months_of
+from kerbcast.operators.partials import covered_months, months_of
 from kerbcast.operators.scoring import error_metrics
 from kerbcast.operators.zoning import (
     assign_zones,
@@ -502,7 +502,7 @@ def i7(spark, sf_dir):
 @register("i8_backtest_refitted_zones")
 def i8_refitted(spark, sf_dir):
     return X.backtest(
-        or_partials(spark, sf_dir),
+        covered_months(or_partials(spark, sf_dir)),
         lattice_centroids(spark),
         WeekdayMean(),
         windows=(3,),
@@ -513,9 +513,7 @@ def i8_refitted(spark, sf_dir):
 
 @register("i9_validate_zone_counts")
 def i9(spark, sf_dir):
-    return X.validate_zone_counts(
-        or_partials(spark, sf_dir), lattice_centroids(spark), candidates=(5, 20, 60)
-    )
+    return X.validate_zone_counts(covered_months(or_partials(spark, sf_dir)), lattice_centroids(spark))
 
 
 @register("i10_i11_random_search")
@@ -524,7 +522,7 @@ def i11(spark, sf_dir):
         return {**X.draw_tree_params(rng), "n_estimators": 2, "num_leaves": 7}
 
     return X.tune(
-        or_partials(spark, sf_dir),
+        covered_months(or_partials(spark, sf_dir)),
         lattice_centroids(spark),
         n_trials=1,
         n_test_months=1,

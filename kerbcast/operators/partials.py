@@ -122,6 +122,13 @@ def daily_coverage_problems(
     ).filter(F.col("problem").isNotNull())
 
 
+def covered_months(partials: DataFrame) -> DataFrame:
+    """Partials of the months that have no coverage problem."""
+    gaps = daily_coverage_problems(partials).select("month").distinct()
+    named = partials.withColumn("_month", month_text(F.trunc("date", "month")))
+    return named.join(gaps.withColumnRenamed("month", "_month"), "_month", "left_anti").drop("_month")
+
+
 class CoverageError(ValueError):
     """A month has unreported days."""
 

@@ -57,6 +57,16 @@ TREE_PARAMS = {
     "colsample_bytree": 0.6624074561769746,
 }
 
+# Ranges that random trials are drawn from, and what every trial has.
+SEARCH_SPACE = {
+    "n_estimators": ("whole", 100, 600),
+    "num_leaves": ("whole", 15, 255),
+    "learning_rate": ("power of ten", -2, -0.7),
+    "subsample": ("share", 0.6, 1.0),
+    "colsample_bytree": ("share", 0.6, 1.0),
+}
+SEARCH_FIXED = {"subsample_freq": 1}
+
 # --- Fixed values: decision texts ----------------------------------------------------
 ALREADY_CURRENT = "this model is already the current one"
 REASON_NOT_EVALUATED = "the new model was not evaluated, so it can't be compared"
