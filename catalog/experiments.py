@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from catalog.common import ev_zoning, or_partials
 from catalog.section import Section
@@ -465,6 +466,27 @@ def i1(spark, sf_dir):
     return assign_zones(points, fit_centres(points))
 
 
+@register(
+    "i1_kmeans_fixed_point",
+    """SELECT CAST(NULL AS INTEGER) AS pickup_zone, CAST(NULL AS DOUBLE) AS off WHERE false""",
+)
+def i1_checked(spark, sf_dir):
+    """Zones whose centre is not the weighted mean of the points nearest to it, or that have
+    no point: none, if the fit settled."""
+    points = settle(pickup_points(or_partials(spark, sf_dir), lattice_centroids(spark)))
+    centres = fit_centres(points)
+    weight = F.sum("weight").cast("double")
+    means = assign_zones(points, centres).groupBy("pickup_zone").agg(
+        *[(F.sum(F.col(c) * F.col("weight")) / weight).alias(c) for c in ("start_lat", "start_lng")]
+    )
+    zones = spark.createDataFrame(
+        [(i, *c) for i, c in enumerate(centres)], "pickup_zone int, lat double, lng double"
+    )
+    off = F.hypot(F.col("lat") - F.col("start_lat"), F.col("lng") - F.col("start_lng"))
+    checked = zones.join(means, "pickup_zone", "left").select("pickup_zone", off.alias("off"))
+    return checked.filter("off IS NULL OR off > 0.001")
+
+
 @register("i3_fit_zoning_profile")
 def i3(spark, sf_dir):
     return fit_zoning(or_partials(spark, sf_dir), lattice_centroids(spark)).profile
@@ -484,6 +506,28 @@ def i5(spark, sf_dir):
     return error_metrics(fitted.predict(rows.filter(F.col("date") >= cut)))
 
 
+@register(
+    "i5_i6_boosted_trees_violations",
+    "SELECT CAST(NULL AS VARCHAR) AS violation WHERE false",
+)
+def i5_checked(spark, sf_dir):
+    """What would be wrong with fitted trees: a row without a usable prediction, or errors no
+    smaller than those of the overall mean."""
+    rows = settle(feature_rows(*ev_zoning(spark, sf_dir)))
+    fitted = BoostedTrees(QUICK_TREES).fit(rows)
+    scored = fitted.predict(rows).withColumn("mean", F.avg("ride_count").over(Window.partitionBy(F.lit(0))))
+    found = scored.agg(
+        F.count_if(F.coalesce(F.isnan("prediction"), F.lit(True))).alias("lost"),
+        F.sum(F.pow(F.col("ride_count") - F.col("prediction"), F.lit(2))).alias("trees"),
+        F.sum(F.pow(F.col("ride_count") - F.col("mean"), F.lit(2))).alias("flat"),
+    )
+    violations = F.array(
+        F.when(F.col("lost") > 0, "a row has no prediction"),
+        F.when(F.col("trees") >= F.col("flat"), "the overall mean is as good"),
+    )
+    return found.select(F.explode(F.array_compact(violations)).alias("violation"))
+
+
 @register("i7_training_run")
 def i7(spark, sf_dir):
     bundle = train(

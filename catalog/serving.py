@@ -180,6 +180,28 @@ def a13(spark, sf_dir):
     return bundle_files(spark, path)
 
 
+@register(
+    "a13_digests_of_known_files",
+    """SELECT 'o_orderpriority=' || o_orderpriority AS folder,
+      sha256(string_agg(o_orderkey || ' ' || o_orderstatus, chr(10) ORDER BY o_orderkey) || chr(10)) AS sha256
+      FROM orders GROUP BY o_orderpriority""",
+)
+def a13_known(spark, sf_dir):
+    """One text file for each priority, whose bytes SQL can spell out."""
+    line = F.concat_ws(" ", F.col("o_orderkey").cast("string"), "o_orderstatus").alias("line")
+    lines = table(spark, sf_dir, "orders").select("o_orderpriority", "o_orderkey", line)
+    path = scratch(spark)
+    (
+        lines.repartition("o_orderpriority")
+        .sortWithinPartitions("o_orderpriority", "o_orderkey")
+        .drop("o_orderkey")
+        .write.partitionBy("o_orderpriority")
+        .text(path)
+    )
+    files = bundle_files(spark, path)
+    return files.select(F.url_decode(F.substring_index("file", "/", 1)).alias("folder"), "sha256")
+
+
 @register(
     "i12_request_features",
     with_("resolved", "ev_profile") + """SELECT event_id, pickup_zone, hour, date,

@@ -95,12 +95,19 @@ def a6(spark, sf_dir):
     return ingest.status_text(status)
 
 
-@register("a7_h4_contract_violations")
+@register(
+    "a7_h4_contract_violations",
+    """SELECT * FROM (VALUES ('lost', 'missing_column', 'fare_amount'),
+      ('lost', 'missing_column', 'trip_distance'), ('mixed', 'missing_column', 'fare_amount'),
+      ('typed', 'wrong_type', 'PULocationID')) v(file, rule, column_name)""",
+)
 def a7(spark, sf_dir):
-    """One good and two broken landed files; the good one yields nothing."""
+    """Landed files of the event trips: whole ones yield nothing, broken ones their faults,
+    also where only the second file of a month is broken."""
     trips = event_trips(spark, sf_dir)
     broken = {
         "whole": trips,
+        "mixed": trips,
         "lost": trips.drop("fare_amount", "trip_distance"),
         "typed": trips.withColumn("PULocationID", F.col("PULocationID").cast("string")),
     }
@@ -108,6 +115,8 @@ def a7(spark, sf_dir):
     found = None
     for name, df in broken.items():
         df.write.parquet(f"{root}/{name}")
+        if name == "mixed":
+            trips.drop("fare_amount").coalesce(1).write.mode("append").parquet(f"{root}/{name}")
         rows = ingest.contract_violations(spark, f"{root}/{name}").withColumn("file", F.lit(name))
         found = rows if found is None else found.unionByName(rows)
     return found.select("file", "rule", "column_name")
