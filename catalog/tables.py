@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.common import ev_raw, scratch
 from catalog.section import Section
-from catalog.sql import with_
+from catalog.sql import exact_sum, with_
 from kerbcast.functions.clock import month_of, month_text
 from kerbcast.operators import cleaning as C
 from kerbcast.operators.periods import calendar, months_present
@@ -151,6 +151,8 @@ def k1(spark, sf_dir):
     "k2_stream_hourly_partials",
     with_("ev_measured") + """SELECT pickup_location_id, CAST(start_time AS DATE) AS date,
       CAST(hour(start_time) AS INTEGER) AS hour, count(*) AS ride_count,
+      coalesce(""" + exact_sum("ride_duration_min", "6e7") + """, 0) AS duration_sum,
+      coalesce(""" + exact_sum("ride_distance_km", "1e6") + """, 0) AS distance_sum,
       count(ride_duration_min) AS duration_n, count(ride_distance_km) AS distance_n
       FROM ev_measured GROUP BY ALL""",
 )
@@ -164,8 +166,7 @@ def k2(spark, sf_dir):
     trips = normalize_trips(event_trips(spark, sf_dir, stream))
     out, checkpoint = scratch(spark), scratch(spark)
     run_hourly_partials(C.measure_trips(trips, "2024-01"), out, checkpoint).awaitTermination()
-    state = current_partials(spark, out)
-    return state.drop("duration_sum", "distance_sum")
+    return current_partials(spark, out)
 
 
 @register(
