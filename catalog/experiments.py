@@ -48,18 +48,20 @@ QUICK_TREES = {
 
 # --- months --------------------------------------------------------------------------
 
-# Months with an order above a price: leaves holes, as missing files would.
+# Every month of all orders, but for those whose number of orders is divisible by seven: that
+# leaves holes, as missing files would.
 block(
     "present",
-    sql="""SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
-      WHERE o_totalprice > 490000 AND o_orderpriority <> '5-LOW'""",
+    sql="""SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders
+      GROUP BY ALL HAVING count(*) % 7 <> 0""",
 )
 
 
 def _present(spark, sf_dir):
-    dear = (F.col("o_totalprice") > 490000) & (F.col("o_orderpriority") != "5-LOW")
-    orders = table(spark, sf_dir, "orders").filter(dear)
-    return P.months_present(orders, "o_orderdate")
+    orders = table(spark, sf_dir, "orders")
+    month = F.trunc(F.col("o_orderdate").cast("date"), "month").alias("month")
+    holes = orders.groupBy(month).agg(F.count("*").alias("n")).filter("n % 7 = 0")
+    return P.months_present(orders, "o_orderdate").join(holes, "month", "left_anti")
 
 
 @register("a4_months_present", with_("present") + "SELECT month FROM present")

@@ -96,19 +96,17 @@ def i19(spark, sf_dir):
 
 @register(
     "i22_d11_g6_version_listing",
-    with_("versions") + """
-    , numbered AS (SELECT v.run_id, CAST(row_number() OVER (ORDER BY r.trained_at, v.run_id) AS INTEGER)
-        AS version FROM versions v JOIN runs r USING (run_id))
+    with_("runs") + """
+    , numbered AS (SELECT run_id, CAST(row_number() OVER (ORDER BY trained_at, run_id) AS INTEGER)
+        AS version FROM runs WHERE status = 'FINISHED')
     SELECT version, CASE WHEN version = (SELECT max(version) FROM numbered) - 2 THEN '*' ELSE '' END
         AS current, trained_to, test_month, wape, coalesce(promoted, '') AS promoted
       FROM numbered JOIN runs USING (run_id) ORDER BY version DESC""",
 )
 def i22(spark, sf_dir):
     empty = spark.createDataFrame([], "run_id string, version int")
-    split = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     runs = _finished(spark, sf_dir)
-    older = runs.filter(F.col("trained_at") < split)
-    versions = L.new_versions(older, empty, (), F.trunc(F.col("trained_at").cast("date"), "month"))
+    versions = L.new_versions(runs, empty, (), F.trunc(F.col("trained_at").cast("date"), "month"))
     # Version numbers as text, as some stores keep them.
     pointer = versions.agg((F.max("version") - 2).cast("string").alias("version"))
     texts = versions.withColumn("version", F.col("version").cast("string"))
