@@ -105,6 +105,22 @@ def j3(spark, sf_dir):
     return B.zone_hour_weekday_mean(_train(spark, sf_dir))
 
 
+@register(
+    "e10_errors_by_the_plain_formula",
+    with_("predictions") + """SELECT predictor, round(avg(abs(ride_count - prediction)), 3) AS mae,
+      round(sqrt(avg((ride_count - prediction) * (ride_count - prediction))), 3) AS rmse,
+      round(sum(abs(ride_count - prediction)) / sum(ride_count), 5) AS wape, count(*) AS n_test_rows
+      FROM predictions WHERE prediction IS NOT NULL GROUP BY predictor""",
+)
+def e10_plain(spark, sf_dir):
+    """The library's errors, to digits that steps of a millionth of a ride cannot reach."""
+    scores = B.baseline_scores(ev_daily(spark, sf_dir), CUT)
+    return scores.select(
+        "predictor", F.round("mae", 3).alias("mae"), F.round("rmse", 3).alias("rmse"),
+        F.round("wape", 5).alias("wape"), "n_test_rows",
+    )
+
+
 @register(
     "j4_e10_baseline_scores",
     with_("predictions") + f"""SELECT predictor, {metrics()} FROM predictions
