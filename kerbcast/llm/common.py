@@ -7,7 +7,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbcast.session import ensure_checkpoint_dir
@@ -49,11 +49,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._kerbcast_path = path
+    return table
 
 
-def text_of(column: str = "text") -> Column:
-    return F.coalesce(F.col(column), F.lit(""))
+def discard(*tables: DataFrame) -> None:
+    """Remove saved tables that nothing reads any more: all that came from them must have
+    been saved itself."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._kerbcast_path)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame) -> DataFrame:

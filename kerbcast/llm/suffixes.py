@@ -15,8 +15,8 @@ strings are equal: the same backward prefix of d bytes and a common forward pref
 LENGTH - d.  Bytes are compared, not hashes.
 
 A gram with more than ``CROWD`` anchors (a passage that many documents share) does not meet
-in one task: the strings of its contexts are counted by 128-bit digest, which combines
-before the shuffle.  Documents equal as a whole are one text with a count.
+in one task: digests (128 bits) of stretches of its contexts are counted, which combines
+before the shuffle, down to the strings where a repeat begins or ends.  Documents equal as a whole are one text with a count.
 
 Results for odd rows: a null text counts as empty; texts under LENGTH bytes lose nothing;
 equal rows lose everything, whatever their ids; null and repeated ids are allowed; an empty
@@ -35,12 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbcast.llm.bytetext import BYTE, flat, mixed, slices
-from kerbcast.llm.common import saved, ship
+from kerbcast.llm.common import discard, saved, ship
 
 LENGTH, GRAM = 200, 64
 WINDOW = LENGTH - GRAM + 1
 #: Bytes that quicksort looks at; anchors of a gram beyond which it is counted, not sorted.
 SHALLOW, CROWD = 96, 256
+#: Distances that are counted together, in the steps of the search in crowded grams.
+STRETCHES = (32, 8, 2, 1)
 #: Contexts sorted together in a task; bounds its memory.
 CHUNK = 6000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -318,32 +320,62 @@ def _sorted(contexts: DataFrame) -> DataFrame:
     return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(work, _FOUND)
 
 
-def _counted(contexts: DataFrame) -> DataFrame:
-    """The same for crowded grams, by counting the strings of their contexts."""
+def _ranges(contexts: DataFrame, width: int) -> DataFrame:
+    """A row for each stretch of ``width`` distances that a context's ranges touch: the bytes
+    that all its strings share (core), and those of all of them together (whole; null where
+    the context does not reach over the stretch)."""
+    schema = "context binary, low int, high int, core binary, whole binary, once boolean"
+    names = [f.split()[0] for f in schema.split(", ")]
+    kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 200):
-                part = batch.slice(begin, 200)
-                names, far, strings, once = [], [], [], []
-                for row in part.to_pylist():
-                    whole = row["before"][::-1] + row["after"]
-                    zero = len(row["before"])
-                    for d in range(row["dlo"], row["dhi"] + 1):
-                        names.append(row["context"])
-                        far.append(d)
-                        once.append(row["n"] == 1)
-                        strings.append(_digest(whole[zero - d : zero - d + LENGTH]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.binary()), pa.array(far, pa.int32()), pa.array(strings, pa.binary()), pa.array(once)],
-                    names=["context", "d", "string", "once"],
-                )
+            for begin in range(0, batch.num_rows, 500):
+                rows = []
+                for r in batch.slice(begin, 500).to_pylist():
+                    text, zero = r["before"][::-1] + r["after"], len(r["before"])
+                    stretches = {d // width for p in r["ranges"] for d in range(max(p["low"], r["dlo"]), min(p["high"], r["dhi"]) + 1)}
+                    for low in sorted(width * s for s in stretches):
+                        high = low + width - 1
+                        core = _digest(b"%d " % low + text[zero - low : zero - high + LENGTH])
+                        whole = None
+                        if r["dlo"] <= low and high <= r["dhi"]:
+                            whole = _digest(b"%d " % low + text[zero - high : zero - low + LENGTH])
+                        rows.append((r["context"], low, high, core, whole, r["n"] == 1))
+                columns = list(zip(*rows, strict=True)) or [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    return contexts.mapInArrow(work, schema)
+
+
+def _counted(contexts: DataFrame) -> DataFrame:
+    """The same for crowded grams, by counting digests.
 
+    Distances are taken in stretches.  Where the whole of a stretch occurs twice, all its
+    strings repeat; where its core occurs once, none does; else it is cut into shorter
+    stretches, down to single strings.  So a context costs a few rows for each edge of what
+    it shares, not one for each string.
+    """
     rows = contexts.select("context", "before", "after", "dlo", "dhi", "n")
-    strings = saved(rows.mapInArrow(work, "context binary, d int, string binary, once boolean"), "strings")
-    often = strings.groupBy("string").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("string")
-    hits = strings.where("once").join(often, "string", "left_semi").groupBy("context").agg(F.collect_list("d").alias("ds"))
-    return hits.select("context", F.transform("ds", lambda d: F.struct(d.alias("low"), d.alias("high"))).alias("spans"))
+    open_ = rows.withColumn("ranges", F.array(F.struct(F.col("dlo").alias("low"), F.col("dhi").alias("high"))))
+    answers = []
+    for width in STRETCHES:
+        cut = saved(_ranges(open_, width), "stretches")
+        often = cut.where("whole IS NOT NULL").groupBy("whole").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+        settled = cut.where("once").select("context", "low", "high", "core", "whole").join(often, "whole", "left_semi")
+        settled = saved(settled.drop("whole"), "settled")
+        answers.append(settled.select("context", "low", "high"))
+        # Cores that two contexts have, and at least one of them without an answer yet.
+        asked = cut.groupBy("core").agg(F.count(F.lit(1)).alias("held"), F.count_if("once").alias("open")).where("held > 1")
+        closed = settled.groupBy("core").agg(F.count(F.lit(1)).alias("closed"))
+        cores = asked.join(closed, "core", "left").where(F.col("open") > F.coalesce("closed", F.lit(0)))
+        further = cut.join(saved(cores.select("core"), "cores"), "core", "left_semi")
+        ranges = further.groupBy("context").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        open_ = rows.join(ranges, "context")
+    found = answers[0]
+    for more in answers[1:]:
+        found = found.unionByName(more)
+    return found.groupBy("context").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
 
 
 def _cut(texts: DataFrame) -> DataFrame:
@@ -393,7 +425,8 @@ def repeats_removed(documents: DataFrame, text: str = "text") -> DataFrame:
     texts = saved(texts, "texts")
     once = scan.join(texts.select("rid"), "rid", "left_semi").select("rid", F.posexplode("grams").alias("at", "gram"))
     once = saved(once, "anchors")
-    shared = once.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Saved, so that the join reads two plain shuffles and a crowded gram's rows can be split.
+    shared = saved(once.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared")
     asked = (
         once.join(shared, "gram")
         .groupBy("rid")
@@ -403,17 +436,20 @@ def repeats_removed(documents: DataFrame, text: str = "text") -> DataFrame:
     body = documents.select(F.col("doc_id").alias("__doc"), F.col(text).alias("text"))
     named = asked.join(heads, "rid")
     met = body.join(named, F.col("__doc").eqNullSafe(F.col("__id"))).select("text", "digest", "rid", "asked")
-    rows = saved(_contexts(met), "contexts")
+    wide = saved(_contexts(met), "contexts")
+    discard(once, shared)
     contexts = saved(
-        rows.groupBy("context").agg(
+        wide.groupBy("context").agg(
             *[F.any_value(c).alias(c) for c in ("gram", "crowded", "before", "after", "dlo", "dhi")],
             F.count(F.lit(1)).alias("n"),
         ),
         "distinct",
     )
+    rows = saved(wide.select("rid", "place", "context"), "places")
+    discard(wide)
     partial = _sorted(contexts.where("NOT crowded")).unionByName(_counted(contexts.where("crowded")))
     whole = contexts.where("n > 1").select("context", F.array(F.struct(F.col("dlo").alias("low"), F.col("dhi").alias("high"))).alias("spans"))
-    repeats = rows.select("rid", "place", "context").join(partial.unionByName(whole), "context")
+    repeats = rows.join(partial.unionByName(whole), "context")
     runs = repeats.select("rid", "place", F.explode("spans").alias("s")).groupBy("rid").agg(
         F.collect_list(
             F.struct((F.col("place") - F.col("s.high")).alias("begin"), (F.col("place") - F.col("s.low") + LENGTH).alias("end"))
