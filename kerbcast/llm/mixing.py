@@ -93,6 +93,8 @@ def permuted(index: Column, size: Column, *key: Column) -> Column:
 
 def slots(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: int = 17) -> DataFrame:
     """(shard, sid, slot, epoch, block): which block each slot of the mix takes."""
+    # A fixed number, for the runs are few and short before they become slots.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = F.ceil(F.col("source_size") / block).cast("long")
     wanted = F.round(F.col("target") / F.col("source_size") * F.col("blocks")).cast("long")
     run = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("wanted") - 1) / SLOT_RUN))).alias("run")
@@ -102,7 +104,7 @@ def slots(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: in
         .withColumn("wanted", F.least(wanted, F.lit(MOST) * F.col("blocks")))
         .where("wanted > 0")
         .select("sid", "blocks", "wanted", run)
-        .repartition("sid", "run")
+        .repartition(tasks, "sid", "run")
     )
     last = F.least((F.col("run") + 1) * SLOT_RUN, "wanted") - 1
     every = runs.select("sid", "blocks", F.explode(F.sequence(F.col("run") * SLOT_RUN, last)).alias("slot"))
@@ -117,6 +119,12 @@ def slots(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: in
     )
 
 
+def meeting(parts_rows: DataFrame, drawn: DataFrame) -> DataFrame:
+    """Parts beside the slots or draws of their block.  Both grow with the corpus, though the
+    slots spring from a table of a few sources, so neither may be broadcast."""
+    return parts_rows.hint("merge").join(drawn, ["sid", "block"])
+
+
 def parts(placed_rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """(sid, block, place, start, words): the words of each document in each block; start
     counts from the document's first word."""
@@ -149,8 +157,7 @@ def mixed(documents: DataFrame, block: int = BLOCK, seed: int = 17) -> DataFrame
     rows = saved(placed(sized, sources), "placed")
     draws = slots(sources, block, seed=seed).groupBy("sid", "block").agg(F.count(F.lit(1)).alias("draws"))
     taken = (
-        parts(rows, block)
-        .join(draws, ["sid", "block"])
+        meeting(parts(rows, block), draws)
         .groupBy("sid", "place")
         .agg(F.sum(F.col("words") * F.col("draws")).alias("taken"))
         .withColumn("full", F.lit(True))
@@ -178,8 +185,7 @@ def mixed_texts(documents: DataFrame, block: int = BLOCK, seed: int = 17) -> Dat
     rows = saved(placed(sized, sources), "placed")
     drawn = slots(sources, block, seed=seed).select("sid", "block", "epoch")
     kept = (
-        parts(rows, block)
-        .join(drawn, ["sid", "block"])
+        meeting(parts(rows, block), drawn)
         .groupBy("sid", "place", "epoch")
         .agg(F.array_sort(F.collect_list(F.struct("start", "words"))).alias("spans"), F.sum("words").alias("taken"))
     )
