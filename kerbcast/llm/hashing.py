@@ -194,7 +194,7 @@ def _links(nodes: DataFrame, total: int, largest: int, width: int, cosine: float
         F.zip_with("x_code", "y_code", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x
     )
     pairs = (
-        asked.join(held, "key")
+        asked.join(held.hint("merge"), "key")  # many rows from each row of a small table
         .where(F.col("x") < F.col("y"))
         .where(apart <= FAR)
         .select("x", "y")

@@ -151,7 +151,7 @@ def _table_keys(nodes: DataFrame) -> DataFrame:
     grouped = nodes.select("node", F.posexplode("groups").alias("g", "value"))
     shared = grouped.groupBy("g", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     meeting = (
-        grouped.join(shared, ["g", "value"])
+        grouped.hint("merge").join(shared, ["g", "value"])
         .groupBy("node")
         .agg(
             F.collect_list(F.when(F.col("g") < GROUPS, F.struct("g", "value"))).alias("a"),
@@ -280,7 +280,7 @@ def _exact(met: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> D
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # A link must share one of each side's rarest shingles: of those beyond what it may lack.
     ranked = (
-        tokens.join(counts.where("df > 1"), "token")
+        tokens.hint("merge").join(counts.where("df > 1"), "token")
         .groupBy("node")
         .agg(
             F.any_value("component").alias("component"),
@@ -301,7 +301,7 @@ def _exact(met: DataFrame, first: DataFrame, sets: DataFrame, percent: int) -> D
     # shingle on: the first that two sets have in common leaves room for all they share.
     most = F.least("x_m", "y_m", "x_left", "y_left")
     pairs = (
-        x.join(y, "token")
+        x.hint("merge").join(y, "token")
         .where(
             (F.col("x_node") < F.col("y_node"))
             & (F.col("x_component") != F.col("y_component"))
