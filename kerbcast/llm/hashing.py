@@ -2,11 +2,14 @@
 
 A rotation is learnt that makes the signs of the centred, projected vectors balanced binary
 codes (alternating between codes and the rotation that fits them best), on a sample bounded by
-``SAMPLE`` vectors; ``CODES`` such rotations from different starts give 64 bits each.  The
-bits are cut into ``TABLES`` parts, each the key of a Hamming table; the parts get longer
-with the logarithm of the largest label's size, so buckets stay small as the data grows.
-Every vector is in each table, and looks up its own part and all parts one bit away.  Pairs
-that meet are compared by all bits, then by the cosine of their vectors in double precision.
+``SAMPLE`` vectors; rotations from different starts give 64 bits each.  Disjoint parts of the
+bits are the keys of Hamming tables; the parts get longer with the logarithm of the largest
+label's size, so buckets stay small as the data grows.  Every vector is in each table, and
+looks up its own part and all parts one bit away.  Two vectors meet less often in a table of
+longer parts, so there are more tables then (``n_tables``): at the limit they miss each other
+in all of them with a chance of ``MISS`` at most, whatever the size.  Pairs that meet are
+compared by the bits of the first ``CODES`` rotations, then by the cosine of their vectors in
+double precision.
 
 Equal vectors of a label are one node with a count, so copies are never paired.
 
@@ -19,6 +22,7 @@ alone.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,21 +30,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbcast.llm.bytetext import mixed
 from kerbcast.llm.common import components, saved, ship
 
 COSINE = 0.93
 #: Vectors that the rotations are learnt from, at most about.
 SAMPLE = 4096
+#: Codes that pairs are compared by, the fewest tables, rounds of a rotation's fit.
 CODES, TABLES, ROUNDS = 4, 10, 30
+#: Shortest and longest part; chance that a pair at the limit shares no bucket.
+SHORTEST, LONGEST, MISS = 8, 25, 1e-4
 #: Bits of 64 x CODES that linked vectors may differ in; random ones differ in half.
 FAR = 88
 
 
+def n_tables(part: int, cosine: float = COSINE) -> int:
+    """Tables of ``part`` bits, one bit apart allowed, in which vectors with ``cosine`` meet
+    but for ``MISS``.  A sign differs with the share of a half turn that lies between them."""
+    differ = math.acos(min(1.0, max(-1.0, cosine))) / math.pi
+    apart = 1 - (1 - differ) ** part - part * differ * (1 - differ) ** (part - 1)
+    return TABLES if apart <= MISS else max(TABLES, math.ceil(math.log(MISS) / math.log(apart)))
+
+
 class Rotations:
-    """Centre, projection and rotations; 64 sign bits for each rotation."""
+    """Centre, projection and ``codes`` rotations; 64 sign bits for each rotation."""
 
-    def __init__(self, sample: np.ndarray, seed: int = 3) -> None:
+    def __init__(self, sample: np.ndarray, seed: int = 3, codes: int = CODES) -> None:
         self.width = sample.shape[1]
         self.mean = sample.mean(0)
         centred = sample - self.mean
@@ -51,7 +65,7 @@ class Rotations:
         self.matrices = []
         flat = centred @ axes
         kept = axes.shape[1]
-        for _ in range(CODES):
+        for _ in range(codes):
             rotation = np.linalg.qr(rng.standard_normal((kept, kept)))[0]
             for _ in range(ROUNDS):
                 left, _, right = np.linalg.svd(np.where(flat @ rotation >= 0, 1.0, -1.0).T @ flat)
@@ -60,7 +74,7 @@ class Rotations:
             self.matrices.append(axes @ np.hstack([rotation, more]))
 
     def bits(self, unit: np.ndarray) -> np.ndarray:
-        """Rows of 64 x CODES booleans."""
+        """Rows of 64 booleans for each code."""
         return np.hstack([(unit - self.mean) @ m >= 0 for m in self.matrices])
 
 
@@ -80,44 +94,37 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.FixedSizeListArray.from_arrays(flat, rows.shape[1]).cast(pa.list_(pa.int64()))
 
 
-def _keys(nodes: DataFrame, rotations: Rotations, part: int) -> DataFrame:
-    """node, code, own (keys of its buckets) and near (those and the ones a bit away)."""
+def parts(bits: np.ndarray, part: int, tables: int) -> np.ndarray:
+    """The value of each row's part in each table; a part's bits are spread over all codes by
+    a stride."""
+    weights = np.int64(1) << np.arange(part, dtype=np.int64)
+    return np.stack([bits[:, t + tables * np.arange(part)] @ weights for t in range(tables)], axis=1)
+
+
+def _keys(nodes: DataFrame, rotations: Rotations, part: int, tables: int) -> DataFrame:
+    """node, group, code and the values of its parts."""
     ship(nodes.sparkSession)
     shared = nodes.sparkSession.sparkContext.broadcast(rotations)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rotations = shared.value
-        weights = np.uint64(1) << np.arange(part, dtype=np.uint64)
         for batch in batches:
             for begin in range(0, batch.num_rows, 2048):
                 rows = batch.slice(begin, 2048)
-                vectors = rows.column("vector")
-                bits = rotations.bits(_padded(vectors, rotations.width))
-                code = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
-                group = rows.column("group").to_numpy().view(np.uint64)
-                near = np.zeros((len(bits), TABLES, part + 1), np.uint64)
-                for t in range(TABLES):
-                    # Bits of a part are spread over the code by a stride.
-                    value = (bits[:, (t + TABLES * np.arange(part)) % bits.shape[1]] * weights).sum(1, dtype=np.uint64)
-                    near[:, t, 0] = value
-                    near[:, t, 1:] = value[:, None] ^ weights
-                    near[:, t] = mixed(near[:, t] + mixed(group + np.uint64(t))[:, None])
+                bits = rotations.bits(_padded(rows.column("vector"), rotations.width))
+                code = np.packbits(bits[:, : 64 * CODES], axis=1, bitorder="little").view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column("node"),
-                        _lists(code),
-                        _lists(near[:, :, 0]),
-                        _lists(near.reshape(len(bits), -1)),
-                    ],
-                    names=["node", "code", "own", "near"],
+                    [rows.column("node"), rows.column("group"), _lists(code), _lists(parts(bits, part, tables))],
+                    names=["node", "group", "code", "parts"],
                 )
 
-    schema = "node string, code array<long>, own array<long>, near array<long>"
+    schema = "node string, group long, code array<long>, parts array<long>"
     return nodes.select("node", "group", "vector").mapInArrow(work, schema)
 
 
-def linked_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every vector."""
+def linked_vectors(embeddings: DataFrame, cosine: float = COSINE, part: int | None = None) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every vector.  ``part`` sets the bits of a
+    part, which otherwise follow from the largest label."""
     vector = F.col("embedding").cast("array<double>")
     usable = F.col("label").isNotNull() & F.coalesce(
         (F.size("vector") > 0)
@@ -148,7 +155,8 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
     sizes = nodes.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"))
     total, largest, width = sizes.agg(F.sum("n"), F.max("n"), F.max("width")).first()
-    links = _links(nodes, total, largest, width, cosine) if total else None
+    part = part or int(np.clip(np.ceil(np.log2(max(largest or 0, 2))), SHORTEST, LONGEST))
+    links = _links(nodes, total, part, width, cosine) if total else None
     if links is None:
         answer = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
         return answer.withColumn("kept", F.lit(True))
@@ -178,18 +186,27 @@ def linked_vectors(embeddings: DataFrame, cosine: float = COSINE) -> DataFrame:
     )
 
 
-def _links(nodes: DataFrame, total: int, largest: int, width: int, cosine: float) -> DataFrame:
+def _links(nodes: DataFrame, total: int, part: int, width: int, cosine: float) -> DataFrame:
     share = int(min(1.0, SAMPLE / total) * (1 << 30))
     sample = nodes.where(F.pmod(F.xxhash64("node", F.lit(5)), F.lit(1 << 30)) < max(share, 1)).select("node", "vector")
     drawn = sorted(sample.limit(2 * SAMPLE).collect()) or nodes.select("node", "vector").orderBy("node").take(1)
     table = np.zeros((len(drawn), width))
     for k, (_, vector) in enumerate(drawn):
         table[k, : len(vector)] = vector
-    rotations = Rotations(table / np.linalg.norm(table, axis=1, keepdims=True))
-    part = int(np.clip(np.ceil(np.log2(max(largest, 2))), 8, 64 * CODES // TABLES))
-    keys = saved(_keys(nodes, rotations, part), "keys")
-    held = keys.select(F.explode("own").alias("key"), F.col("node").alias("y"), F.col("code").alias("y_code"))
-    asked = keys.select(F.explode("near").alias("key"), F.col("node").alias("x"), F.col("code").alias("x_code"))
+    tables = n_tables(part, cosine)
+    codes = max(CODES, -(-part * tables // 64))
+    rotations = Rotations(table / np.linalg.norm(table, axis=1, keepdims=True), codes=codes)
+    keys = saved(_keys(nodes, rotations, part, tables), "keys")
+    buckets = keys.select("node", "group", "code", F.posexplode("parts").alias("t", "value"))
+    key = F.xxhash64("group", "t", "value").alias("key")
+    held = buckets.select(key, F.col("node").alias("y"), F.col("code").alias("y_code"))
+    # A bucket's own value and those one bit away.
+    turns = F.explode(F.array(*[F.lit(m).cast("long") for m in (0, *(1 << i for i in range(part)))]))
+    asked = (
+        buckets.withColumn("turn", turns)
+        .withColumn("value", F.col("value").bitwiseXOR(F.col("turn")))
+        .select(key, F.col("node").alias("x"), F.col("code").alias("x_code"))
+    )
     apart = F.aggregate(
         F.zip_with("x_code", "y_code", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda a, x: a + x
     )

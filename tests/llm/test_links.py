@@ -150,3 +150,38 @@ def test_no_usable_vectors(spark):
     assert hashing.linked_vectors(spark.createDataFrame([], schema)).collect() == []
     alone = hashing.linked_vectors(spark.createDataFrame([(None, [1.0], None), (2, None, 3)], schema)).collect()
     assert sorted(alone, key=str) == sorted([(None, 0, None, True), (2, 0, 2, True)], key=str)
+
+
+def pairs_at_limit(n, width=64, seed=11):
+    """``n`` pairs of vectors, far from other pairs, with a cosine of just over 0.93."""
+    rng = np.random.default_rng(seed)
+    first = rng.standard_normal((n, width))
+    first /= np.linalg.norm(first, axis=1, keepdims=True)
+    across = rng.standard_normal((n, width))
+    across -= (across * first).sum(1, keepdims=True) * first
+    across /= np.linalg.norm(across, axis=1, keepdims=True)
+    cosine = hashing.COSINE + 1e-9
+    return first, cosine * first + math.sqrt(1 - cosine**2) * across
+
+
+@pytest.mark.parametrize("part", [8, 12, 16, 20, 22, 25])
+def test_pairs_at_the_limit_meet_whatever_the_length_of_a_part(part):
+    first, second = pairs_at_limit(6000)
+    tables = hashing.n_tables(part)
+    rotations = hashing.Rotations(np.vstack([first, second])[::3], codes=max(hashing.CODES, -(-part * tables // 64)))
+    a, b = rotations.bits(first), rotations.bits(second)
+    differ = np.bitwise_count(hashing.parts(a, part, tables) ^ hashing.parts(b, part, tables))
+    far = (a != b)[:, : 64 * hashing.CODES].sum(1) > hashing.FAR
+    assert ((differ.min(1) <= 1) & ~far).mean() >= 0.999
+
+
+def test_long_parts_lose_no_links(spark):
+    first, second = pairs_at_limit(300)
+    rows = np.vstack([first, second])
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    cosines = rows @ rows.T
+    links = (np.triu(cosines, 1) >= hashing.COSINE).sum()
+    frame = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
+    assert links == 300
+    found = hashing.linked_vectors(frame, part=25).collect()
+    assert sum(r["n_links"] for r in found) == 2 * links
