@@ -4,12 +4,17 @@ operations only.
 Fixed patterns give the base spans, which always count.  Generators of high recall propose
 further spans, which may overlap: written-out addresses, long numbers, long tokens with
 digits.  Each proposal is described by its format and by the text before it.  Gradient-
-boosted trees learn from proposals whose nature a strict rule settles (an address or number
-that holds a base span; a token in a known key format or after an assignment to a secret's
-name), on a sample bounded by ``SAMPLE`` rows.  The rest is calibration: over all proposals
-kept from training, each generator gets the lowest score at which ``PRECISION`` of the
-proposals above it are positive.  Proposals from that score on that touch no base span are
-added.  Trees become plain expressions, so a document is judged in the pass that reads it.
+boosted trees learn from proposals whose nature a strict rule settles, on a sample bounded by
+``SAMPLE`` rows.  Positive are written-out addresses in brackets, under a known top-level
+domain or after a word such as mail; numbers after a word such as phone or account, and those
+that hold a base phone or card number, which stand for such numbers without their plus; tokens
+in a known key format or after an assignment to a secret's name.  Negative are other spoken
+addresses, dates, amounts, decimals and plain runs of digits without such a word, other tokens.
+Numbers that no rule settles are left to the trees.  The rest is calibration: over settled
+proposals kept from training that touch no base span, each generator gets the lowest score that
+``PRECISION`` of the proposals above it, and of those at it, are positive.  Proposals from that
+score on that touch no base span are added, but for addresses and numbers settled as negative.
+Trees become plain expressions, so a document is judged in the pass that reads it.
 
 The patterns are written so that matching is linear: the runs they start in begin at a run's
 start or at the last match's end, and loops give nothing back, which changes no match.
@@ -49,6 +54,30 @@ PATTERNS = {
 #: A text without these has no match of the kind.
 _HINT = {"email": "@", "phone": "+"}
 _NAMES = r"(?i)(pass(?:word|wd)?|token|secret|api.?key|key)"
+#: What stands right before an address or a personal number.
+_ASKED = {
+    "contact": r"(?i)(?:^|[^a-z])(?:e-?mail|mail|contact|write|reach|address)(?: (?:me|us|him|her|them|to|is|at)){0,3}[^0-9a-z]*$",
+    "number": r"(?i)(?:^|[^a-z])(?:tele)?(?:phone|tel|call|fax|mobile|cell|whatsapp|sms|ssn|social security|passport|iban|account|"
+    r"acct|card|licen[cs]e|id)(?: (?:me|us|him|her|them|number|no|nr|at|on|is)){0,3}[^0-9a-z]*$",
+}
+#: Domains that are no words.
+_DOMAIN = (
+    r"(?i)(?:\.| dot |\(dot\)|\[dot\]) ?(?:com|org|net|edu|gov|mil|info|biz|io|uk|de|fr|nl|pl|se|fi|dk|ch|eu|ru|cn|jp|kr|br|"
+    r"ca|nz|mx|za)$"
+)
+#: Words before "at" that are no mailbox.
+_NO_BOX = (
+    r"(?i)^(?:us|me|it|them|him|her|you|here|there|is|are|was|were|be|out|not|and|or|more|online|available|shop|look|looking|visit|see|"
+    r"found|live|buy|sold|read|meet|work|works|working|arrived?|store|site|website) at "
+)
+_YEAR, _MONTH, _DAY = "(?:19|20)[0-9]{2}", "(?:0?[1-9]|1[0-2])", "(?:0?[1-9]|[12][0-9]|3[01])"
+_DATE = (
+    rf"^(?:{_YEAR}[-./ ]{_MONTH}[-./ ]{_DAY}|{_DAY}[-./ ]{_MONTH}[-./ ]{_YEAR}|{_MONTH}[-./ ]{_DAY}[-./ ]{_YEAR})"
+    rf"(?:[ -][0-9]{{1,2}})?$|^{_YEAR} ?[-/ ] ?{_YEAR}$"
+)
+#: Plain runs, decimals, dotted versions, thousands.
+_AMOUNT = r"^[0-9]+(?:\.[0-9]+)?$|^[0-9]+(?:\.[0-9]+){3,}$|^[0-9]{1,3}(?:\.[0-9]{3})+$|^[0-9]{1,3}(?: [0-9]{3})* 000$"
+_UNIT = r"[$€£¥#]\s*$|[0-9][.,]$"
 _RUN = 256
 
 
@@ -140,18 +169,39 @@ def _features(generator: int, span: Column, before: Column, after: Column) -> Co
         F.least(_count(hit, "[0-9]+"), F.lit(32.0)),
         F.least(_count(hit, r"\."), F.lit(32.0)),
         F.size(F.array_distinct(F.split(F.substring(hit, 1, 64), ""))).cast("double"),
-        before.rlike(r"\+\s*$").cast("double"),
         before.rlike(r"[=:]\s*[\"']?$").cast("double"),
         before.rlike(_NAMES).cast("double"),
         before.rlike(r"(?i)(mail|contact|phone|tel|call|card|account|server|host|ssn|iban)").cast("double"),
         after.rlike(r"^[A-Za-z0-9@]").cast("double"),
+        before.rlike(_ASKED["contact"]).cast("double"),
+        before.rlike(_ASKED["number"]).cast("double"),
+        hit.rlike(_DOMAIN).cast("double"),
+        hit.rlike(_NO_BOX).cast("double"),
+        _count(hit, r"[(\[](?:at|dot)[)\]]"),
+        hit.rlike(_DATE).cast("double"),
+        hit.rlike(_AMOUNT).cast("double"),
+        before.rlike(_UNIT).cast("double"),
     )
 
 
-def _settled(kind: str, span: Column, before: Column, touches: Column) -> Column:
-    if kind != "secret":
-        return touches
-    return span["hit"].rlike("^AKIA[0-9A-Z]{16}$") | before.rlike(rf"{_NAMES}[\"' ]*[:=][\"' ]*$")
+def _settled(kind: str, span: Column, before: Column, touched: dict[str, Column]) -> Column:
+    """The nature of a proposal by strict rules; null where they do not settle it."""
+    hit = span["hit"]
+    if kind == "secret":
+        settled = hit.rlike("^AKIA[0-9A-Z]{16}$") | before.rlike(rf"{_NAMES}[\"' ]*[:=][\"' ]*$")
+        return F.coalesce(settled, F.lit(False))
+    asked = before.rlike(_ASKED[kind])
+    if kind == "contact":
+        bracketed = hit.rlike(r"[(\[]at[)\]] ?[A-Za-z0-9-]+ ?[(\[]dot[)\]]")
+        positive = asked | bracketed | (hit.rlike(_DOMAIN) & ~hit.rlike(_NO_BOX))
+        return F.when(~reduce(Column.__or__, touched.values()), positive)
+    return (
+        F.when(touched["phone"] | touched["card"], True)
+        .when(touched["email"] | touched["ip"], None)
+        .when(hit.rlike(_DATE), False)
+        .when(asked, True)
+        .when(hit.rlike(_AMOUNT) | before.rlike(_UNIT), False)
+    )
 
 
 def scanned(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -175,14 +225,16 @@ def scanned(documents: DataFrame, text: str = "text") -> DataFrame:
             lead = F.least(span["start"], F.lit(32))
             before = F.substring(F.col("__text"), (span["start"] - lead + 1).cast("int"), lead.cast("int"))
             after = F.substring(F.col("__text"), (span["end"] + 1).cast("int"), F.lit(2))
-            touches = F.exists("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+            over = F.filter("base", lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"]))
+            kinds = F.transform(over, lambda b: b["kind"])
+            touched = {base: F.array_contains(kinds, i) for i, base in enumerate(BASE)}
             return F.struct(
                 F.lit(n).alias("kind"),
                 span["start"].alias("start"),
                 span["end"].alias("end"),
                 _features(n, span, before, after).alias("x"),
-                F.coalesce(_settled(kind, span, before, touches), F.lit(False)).alias("positive"),
-                touches.alias("touches"),
+                _settled(kind, span, before, touched).alias("positive"),
+                (F.size(over) > 0).alias("touches"),
             )
 
         return F.transform(kind, one)
@@ -216,7 +268,12 @@ class Judge:
     def added(self) -> Column:
         """The proposals that count, as (kind, start, end); kinds go on after the base's."""
         limits = F.array(*[F.lit(self.limits.get(n, 2.0)) for n in range(len(ADDED))])
-        chosen = F.filter("proposed", lambda p: ~p["touches"] & (self.score(p["x"]) >= F.get(limits, p["kind"])))
+
+        def counts(p: Column) -> Column:
+            open_ = (p["kind"] == ADDED.index("secret")) | F.coalesce(p["positive"], F.lit(True))
+            return ~p["touches"] & open_ & (self.score(p["x"]) >= F.get(limits, p["kind"]))
+
+        chosen = F.filter("proposed", counts)
         return F.transform(
             chosen,
             lambda p: F.struct((p["kind"] + len(BASE)).alias("kind"), p["start"].alias("start"), p["end"].alias("end")),
@@ -229,7 +286,8 @@ def fitted(scan: DataFrame) -> Judge | None:
     proposals = saved(
         scan.where(F.size("proposed") > 0)
         .select(F.explode("proposed").alias("p"))
-        .select("p.kind", "p.x", F.col("p.start").alias("place"), F.col("p.positive").cast("double").alias("label"))
+        .where("p.positive IS NOT NULL")
+        .select("p.kind", "p.x", "p.touches", F.col("p.start").alias("place"), F.col("p.positive").cast("double").alias("label"))
         .withColumn("turn", F.pmod(F.xxhash64("place", "x"), F.lit(4))),
         "proposals",
     )
@@ -244,7 +302,7 @@ def fitted(scan: DataFrame) -> Judge | None:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, seed=5, maxMemoryInMB=64).fit(sample)
     judge = Judge(model, {})
-    scored = proposals.where("turn = 0").select(
+    scored = proposals.where("turn = 0 AND NOT touches").select(
         "kind", F.floor(judge.score(F.col("x")) * 1000).alias("bin"), "label"
     )
     bins = scored.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()
@@ -252,7 +310,7 @@ def fitted(scan: DataFrame) -> Judge | None:
         n = good = 0
         for row in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             n, good = n + row["n"], good + row["good"]
-            if good >= PRECISION * n:
+            if good >= PRECISION * n and row["good"] >= PRECISION * row["n"]:
                 judge.limits[kind] = row["bin"] / 1000
     return judge
 

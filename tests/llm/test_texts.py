@@ -255,6 +255,43 @@ def test_trees_add_what_the_rules_settle(spark):
     assert all(("secret:" in got[k]) == bool(k % 2) for k in got)
 
 
+def test_written_out_addresses_and_numbers_are_added_and_dates_are_not(spark):
+    rng = random.Random(6)
+
+    def digits(n):
+        return str(rng.randint(2, 9)) + "".join(rng.choice("0123456789") for _ in range(n - 1))
+
+    def name():
+        return "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+
+    makers = [
+        ("contact", lambda: ("ask ", f"{name()} (at) {name()} (dot) com")),
+        ("contact", lambda: ("ask ", f"{name()} at {name()} dot com")),
+        (None, lambda: ("he stood ", f"{name()} at {name()} dot {rng.choice(['matrix', 'paper', 'style'])}")),
+        ("number", lambda: ("call me at ", f"{digits(3)}-{digits(3)}-{digits(4)}")),
+        ("number", lambda: ("her ssn is ", f"{digits(3)}-{digits(2)}-{digits(4)}")),
+        ("number", lambda: ("so we wrote down ", f"{digits(3)}-{digits(3)}-{digits(4)}")),
+        (None, lambda: ("it came on ", f"20{rng.randint(10, 24)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}")),
+        (None, lambda: ("a total of ", digits(rng.randint(7, 9)))),
+        ("phone", lambda: ("or dial ", f"+1 {digits(3)}-{digits(3)}-{digits(4)}")),
+    ]
+    # Nearly all numbers stand in base spans.
+    rows, wanted = [], {}
+    for k in range(2700):
+        kind, maker = makers[k % 9] if k < 900 else makers[8]
+        lead, hit = maker()
+        start = "y" * rng.randint(0, 9) + " "
+        rows.append((k, f"{start}{lead}{hit} then"))
+        at = len(start) + len(lead)
+        wanted[k] = f"{kind}:{at}:{at + len(hit)}" if kind else ""
+    found = pii.detected(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["doc_id"]: r["s"] for r in found.select("doc_id", pii.written("spans").alias("s")).collect()}
+    for place, (kind, _) in enumerate(makers):
+        own = [k for k in wanted if k < 900 and k % 9 == place]
+        right = sum(got[k] == wanted[k] for k in own)
+        assert right >= 0.95 * len(own) if kind else right == len(own), (place, right, [(rows[k], got[k]) for k in own[:3]])
+
+
 def test_nothing_to_find(no_documents, documents):
     assert pii.detected(no_documents).collect() == []
     assert pii.redacted(no_documents).collect() == []
