@@ -7,7 +7,7 @@ from pyspark.sql import Window
 
 from catalog.common import ev_zoning, or_partials
 from catalog.section import Section
-from catalog.sql import block, exact_mean, lattice_centres, metrics, nearest, with_
+from catalog.sql import BLOCKS, block, exact_mean, lattice_centres, metrics, nearest, with_
 from kerbcast import settings as S
 from kerbcast.functions.clock import month_text, months_ending_at, parse_month, shift_month
 from kerbcast.functions.exact import exact_mean as mean
@@ -387,7 +387,10 @@ def _zone_maps(spark):
 
 
 def _backtest(spark, sf_dir):
-    return X.mean_backtest(or_partials(spark, sf_dir), _zone_maps(spark), ZONE_COUNTS, WINDOWS)
+    # The SQL beside it takes months as they are, also those with missing days.
+    return X.mean_backtest(
+        or_partials(spark, sf_dir), _zone_maps(spark), ZONE_COUNTS, WINDOWS, full_months=False
+    )
 
 
 @register(
@@ -423,6 +426,46 @@ def i8_summary(spark, sf_dir):
     return scoring.summarize_backtest(_backtest(spark, sf_dir))
 
 
+_MONTHS = BLOCKS["or_months"][1]
+#: The backtest's blocks over months that have no day without trips or with very few.
+_COVERED = with_("backtest").replace(
+    f"or_months AS ({_MONTHS})",
+    f"""or_all_months AS ({_MONTHS}),
+    or_day_counts AS (SELECT month, date, sum(ride_count) AS n FROM or_all_months GROUP BY ALL),
+    or_covered AS (SELECT month FROM (SELECT *, median(n) OVER (PARTITION BY month) AS mid FROM or_day_counts)
+      GROUP BY month HAVING count(*) = day(last_day(month)) AND bool_and(n >= {S.LOW_DAY_SHARE_OF_MEDIAN} * mid)),
+    or_months AS (SELECT * FROM or_all_months WHERE month IN (SELECT month FROM or_covered))""",
+)
+
+
+def _covered_backtest(spark, sf_dir):
+    partials = covered_months(or_partials(spark, sf_dir))
+    return X.mean_backtest(partials, _zone_maps(spark), ZONE_COUNTS, WINDOWS)
+
+
+@register(
+    "i8_e11_mean_backtest_covered",
+    _COVERED + """SELECT window_months, n_zones, strftime(test_month, '%Y-%m') AS test_month,
+      mae, rmse, wape, smallest_zone_share, n_test_rows FROM backtest""",
+)
+def i8_covered(spark, sf_dir):
+    return _covered_backtest(spark, sf_dir)
+
+
+@register(
+    "i8_e12_mean_backtest_summary_covered",
+    _COVERED + f"""
+    , common AS (SELECT test_month FROM backtest GROUP BY 1 HAVING count(*) =
+        (SELECT count(*) FROM (SELECT DISTINCT window_months, n_zones FROM backtest)))
+    SELECT window_months, n_zones, count(DISTINCT test_month) AS test_months,
+      {exact_mean('mae')} AS mae, {exact_mean('rmse')} AS rmse, {exact_mean('wape', '1e9')} AS wape,
+      {exact_mean('smallest_zone_share', '1e9')} AS smallest_zone_share
+    FROM backtest WHERE test_month IN (SELECT test_month FROM common) GROUP BY ALL""",
+)
+def i8_summary_covered(spark, sf_dir):
+    return scoring.summarize_backtest(_covered_backtest(spark, sf_dir))
+
+
 # --- one training run, fixed centres and weekday mean --------------------------------
 
 _END = "(SELECT max(month) FROM or_months)"
