@@ -594,9 +594,6 @@ def i8_refitted(spark, sf_dir):
         covered_months(or_partials(spark, sf_dir)),
         lattice_centroids(spark),
         WeekdayMean(),
-        windows=(3,),
-        zone_counts=(10,),
-        n_test_months=2,
     )
 
 
