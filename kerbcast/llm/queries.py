@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, hashing, minhash, mixing, neighbours, pieces, pii, rollup, rules, suffixes
+from kerbcast.llm import (
+    chat,
+    hashing,
+    minhash,
+    mixing,
+    neighbours,
+    pieces,
+    pii,
+    prefixes,
+    rollup,
+    rules,
+    suffixes,
+    trie,
+    whitening,
+)
 from kerbcast.llm.common import WORD, saved, shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +132,18 @@ def op10_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.totals()
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
@@ -129,6 +155,9 @@ QUERIES: dict[str, Query] = {
     "op8_vector_links": op8_vector_links,
     "op9_source_mix": op9_source_mix,
     "op10_token_rollup": op10_token_rollup,
+    "op11_whitening": op11_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_fingerprints": op13_fingerprints,
 }
 ORACLES: dict[str, str] = {
     "op10_token_rollup": f"""
@@ -146,4 +175,47 @@ ORACLES: dict[str, str] = {
         SELECT source, lang, version, count(*)::BIGINT AS n_docs, sum(tokens)::BIGINT AS n_tokens
         FROM counted GROUP BY source, lang, version
     """,
+    # The checksum goes over the id's digits bit by bit; nodes are grouped by whole prefixes, and
+    # a subtree is found through the nodes that its smallest member passes.
+    "op12_prefix_trie": """
+        WITH own AS (
+            SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                                 ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), summed AS (
+            SELECT conv_id, turns, CAST(xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                      lambda x, z: xor(x >> 1, 3988292384::BIGINT * (x & 1)))
+            ), 4294967295::BIGINT) % 9 AS INTEGER) AS h FROM own
+        ), rebuilt AS (
+            SELECT s.conv_id, list_concat(coalesce(b.turns, [])[:s.h], s.turns[s.h + 1:]) AS turns
+            FROM summed s LEFT JOIN own b ON b.conv_id = s.conv_id - s.conv_id % 5
+        ), passed AS (
+            SELECT conv_id, len(turns) AS n, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+        ), nodes AS (
+            SELECT depth, turns[:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   strlen(any_value(turns[depth].t)) AS bytes,
+                   coalesce(string_agg(CASE WHEN n = depth THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '') AS ends
+            FROM passed GROUP BY ALL
+        ), family AS (
+            SELECT p.depth, p.conv_id AS parent, c.conv_id FROM nodes c
+            JOIN nodes p ON p.depth = c.depth - 1 AND p.prefix = c.prefix[:c.depth - 1]
+        ), bearing AS (
+            SELECT n.depth, n.conv_id, n.n_convs, n.ends, count(f.conv_id) AS n_children,
+                   CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * n.bytes END AS worth
+            FROM nodes n LEFT JOIN family f ON f.depth = n.depth AND f.parent = n.conv_id GROUP BY ALL
+        ), above AS (
+            SELECT b.depth, b.conv_id, p.depth AS top_depth, m.conv_id AS top, b.worth, b.n_children
+            FROM bearing b JOIN passed p ON p.conv_id = b.conv_id AND p.depth <= b.depth
+            JOIN nodes m ON m.depth = p.depth AND m.prefix = p.turns[:p.depth]
+        ), subtrees AS (
+            SELECT top AS conv_id, top_depth AS depth, sum(worth) AS saved, count(*) FILTER (n_children = 0) AS leaves
+            FROM above GROUP BY ALL
+        )
+        SELECT b.conv_id, b.depth, f.parent AS parent_conv_id, b.n_convs, b.n_children,
+               s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, sha256(b.ends) AS ends_sha256
+        FROM bearing b JOIN subtrees s USING (conv_id, depth)
+        LEFT JOIN family f ON f.depth = b.depth - 1 AND f.conv_id = b.conv_id
+    """,
 }
