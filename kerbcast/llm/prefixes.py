@@ -29,18 +29,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from bisect import bisect_right
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbcast.llm.bytetext import mixed, slices
-from kerbcast.llm.common import saved, ship
+from kerbcast.llm.common import ship
 
 #: Places kept by their hashes at most, code points that choose such a place, shortest span
 #: that counts away from both ends, bytes of text handled at once.
@@ -184,6 +184,8 @@ def _anchored(prefixes: Prefixes, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 def fingerprints(texts: list[str]) -> list[Fingerprint]:
     """One for each text, over one prefix array of all of them."""
+    if not texts:
+        return []
     points, offsets = code_points(texts)
     prefixes = Prefixes(points)
     owner, places, values, limits = _anchored(prefixes, offsets)
@@ -317,73 +319,82 @@ _NAMES = [part.split()[0] for part in COLUMNS.split(", ")]
 
 
 def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a sorted partition, each beside the next.  The first row's text is handed on
-    as ``head``, the last one's as ``tail``: its next stands in another partition."""
-    part = TaskContext.get().partitionId()
-    held, opening = None, True
-
-    def made(columns: list[list], heads: list, tails: list) -> pa.RecordBatch:
-        n = len(heads)
-        arrays = [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)]
-        arrays += [pa.array([part] * n, pa.int64()), pa.array(heads, pa.string()), pa.array(tails, pa.string())]
-        return pa.RecordBatch.from_arrays(arrays, names=[*_NAMES, "part", "head", "tail"])
-
+    """Rows of a sorted partition, each beside the next; the guest at its end is no row of
+    its own (equal guests after the first say nothing new)."""
+    held = None
     for batch in batches:
         for rows in slices(batch, "text", SLICE):
             ids, texts = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()
+            guests = rows.column("guest").to_numpy(zero_copy_only=False)
+            last = guests.any()
+            if last:
+                ids, texts = ids[: guests.argmax() + 1], texts[: guests.argmax() + 1]
             prints = fingerprints(texts)
             if held is not None:
                 ids, texts, prints = [held[0], *ids], [held[1], *texts], [held[2], *prints]
-            held = ids[-1], texts[-1], prints[-1]
-            if len(ids) > 1:
-                rest = [None] * (len(ids) - 1)
-                yield made(_compared(ids, texts, prints), [texts[0] if opening else None, *rest[1:]], rest)
-                opening = False
-    if held is not None:
-        columns = [[held[0]], *([None] for _ in _NAMES[1:])]
-        yield made(columns, [held[1] if opening else None], [held[1]])
-
-
-def _at_borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last rows of partitions, beside the first of the partition after."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            texts = [row["tail"], row["after"]]
-            columns = _compared([row["doc_id"], None], texts, fingerprints(texts))
+            columns = _compared(ids, texts, prints)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES
             )
+            if last:
+                return
+            held = ids[-1], texts[-1], prints[-1]
+
+
+def _stretches(heads: list[tuple[int, int]]) -> Callable[[pa.Array, pa.Array], pa.Array]:
+    """For the key of a row, twice the number of the stretch it belongs to, plus one if it is
+    the first key of it."""
+    ranks = np.array([rank for rank, _ in heads])
+
+    def number(rank: pa.Array, mark: pa.Array) -> pa.Array:
+        own = rank.to_numpy()
+        low, high = np.searchsorted(ranks, own, "left"), np.searchsorted(ranks, own, "right")
+        found = 2 * (high - 1)
+        # Stretches that begin within one rank are told apart by the mark.
+        tied = np.flatnonzero(low < high)
+        marks = mark.take(pa.array(tied)).to_pylist()
+        for k, value in zip(tied.tolist(), marks, strict=True):
+            key = (int(own[k]), value)
+            at = bisect_right(heads, key, int(low[k]), int(high[k])) - 1
+            found[k] = 2 * at + (at >= 0 and heads[at] == key)
+        return pa.array(found, pa.int64())
+
+    return number
 
 
 def fingerprinted(documents: DataFrame) -> DataFrame:
     """Each document beside its edited text and the next document, by falling id.
 
-    Texts are range-partitioned by id once; tasks read their sorted rows as a stream and hold
-    two at a time.  Only the last row of a partition needs another task's row: those are one
-    or two texts a partition.
+    Keys alone (id and a hash of the text, 16 bytes) are range-partitioned first; the first
+    key of each partition, one for each shuffle partition of the session, cuts the order into
+    stretches.  Texts are then shuffled once, each to its stretch, the first of a stretch also
+    to the end of the one before as a guest.  Tasks read their sorted stretch as a stream.
     """
     spark = documents.sparkSession
     ship(spark)
-    order = [F.desc_nulls_last("doc_id"), F.asc("mark")]
+    doc_id = F.col("doc_id").cast("long")
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        doc_id.alias("doc_id"),
+        F.coalesce(F.bitwise_not(doc_id), F.lit(2**63 - 1)).alias("rank"),
+        F.coalesce("text", F.lit("")).alias("text"),
     ).withColumn("mark", F.xxhash64("text"))
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text").select("doc_id", "text")
-    found = saved(
-        ranged.mapInArrow(_in_order, f"{COLUMNS}, part long, head string, tail string"), "fingerprints"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = rows.select("rank", "mark").repartitionByRange(n, "rank", "mark")
+    firsts = keys.groupBy(F.spark_partition_id().alias("part")).agg(F.min(F.struct("rank", "mark")).alias("first"))
+    heads = sorted((r["first"]["rank"], r["first"]["mark"]) for r in firsts.collect())
+    if not heads:
+        return spark.createDataFrame([], COLUMNS)
+    number = F.arrow_udf(_stretches(heads), "long")(F.col("rank"), F.col("mark"))
+    stretch = F.floor(F.col("number") / 2).cast("int")
+    own = F.struct(stretch.alias("stretch"), F.lit(False).alias("guest"))
+    before = F.struct(((stretch + len(heads) - 1) % len(heads)).alias("stretch"), F.lit(True).alias("guest"))
+    places = F.when(F.col("number") % 2 == 1, F.array(own, before)).otherwise(F.array(own))
+    dealt = rows.withColumn("number", number).withColumn("place", F.explode(places)).select(
+        "doc_id", "rank", "mark", "text", "place.*"
     )
-    # One row a partition: which partition with rows comes after it, the first after the last.
-    parts = found.where("tail IS NOT NULL").select("part")
-    everything = Window.partitionBy(F.lit(0))
-    after = F.coalesce(F.lead("part").over(everything.orderBy("part")), F.min("part").over(everything))
-    borders = (
-        found.where("tail IS NOT NULL")
-        .select("doc_id", "part", "tail")
-        .join(parts.select("part", after.alias("after_part")), "part")
-        .join(
-            found.where("head IS NOT NULL").select(F.col("part").alias("after_part"), F.col("head").alias("after")),
-            "after_part",
-        )
-        .select("doc_id", "tail", "after")
+    return (
+        dealt.repartitionById(len(heads), "stretch")
+        .sortWithinPartitions("guest", "rank", "mark", "text")
+        .select("doc_id", "text", "guest")
+        .mapInArrow(_in_order, COLUMNS)
     )
-    return found.where("tail IS NULL").select(*_NAMES).unionByName(borders.mapInArrow(_at_borders, COLUMNS))
