@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.sql import CENTRES, N_ZONES
 from kerbcast.operators.cleaning import clean_trips, measure_trips
 from kerbcast.operators.grid import zone_hour_daily_from_partials
-from kerbcast.operators.partials import partials_from_trips
+from kerbcast.operators.partials import covered_months, partials_from_trips
 from kerbcast.operators.zoning import assign_zones, zone_map
 from kerbcast.plans.forecast import Zoning, zoning_from_centres
-from kerbcast.session import ensure_checkpoint_dir, settle
+from kerbcast.session import settle, shared_folder
 from kerbcast.sources.standins import (
     EVENT_MONTH,
     ORDER_FIRST_MONTH,
@@ -48,6 +46,11 @@ def or_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return partials_from_trips(trips, ORDER_FIRST_MONTH, lattice_centroids(spark), ORDER_MONTHS)
 
 
+def or_covered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partials of months without coverage problems, from one reduction of the trips."""
+    return covered_months(settle(or_partials(spark, sf_dir)))
+
+
 def fixed_zone_map(spark: SparkSession) -> DataFrame:
     """Locations mapped to fixed centres, so that SQL can follow."""
     return zone_map(lattice_centroids(spark), CENTRES)
@@ -71,5 +74,5 @@ def ev_zoning(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Zoning]:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A fresh folder every executor can reach."""
-    return f"{ensure_checkpoint_dir(spark)}/run-{uuid.uuid4().hex}"
+    """A fresh folder every executor can reach, removed when the application ends."""
+    return shared_folder(spark, "run")

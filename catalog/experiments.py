@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from catalog.common import ev_zoning, or_partials
+from catalog.common import ev_zoning, or_covered, or_partials
+from catalog.kmeans import SILHOUETTES, kmeans
 from catalog.section import Section
-from catalog.sql import BLOCKS, block, exact_mean, lattice_centres, metrics, nearest, with_
+from catalog.sql import BLOCKS, block, exact_mean, exact_sum, lattice_centres, metrics, nearest, with_
 from kerbcast import settings as S
 from kerbcast.functions.clock import month_text, months_ending_at, parse_month, shift_month
 from kerbcast.functions.exact import exact_mean as mean
 from kerbcast.operators import periods as P
 from kerbcast.operators import scoring
-from kerbcast.operators.partials import covered_months, months_of
+from kerbcast.operators.partials import months_of
 from kerbcast.operators.scoring import error_metrics
 from kerbcast.operators.zoning import (
     assign_zones,
@@ -439,7 +440,7 @@ _COVERED = with_("backtest").replace(
 
 
 def _covered_backtest(spark, sf_dir):
-    partials = covered_months(or_partials(spark, sf_dir))
+    partials = or_covered(spark, sf_dir)
     return X.mean_backtest(partials, _zone_maps(spark), ZONE_COUNTS, WINDOWS)
 
 
@@ -505,7 +506,16 @@ def i7_evaluate(spark, sf_dir):
 # --- fits SQL cannot follow ----------------------------------------------------------
 
 
-@register("i1_weighted_kmeans_zones")
+_ALL_POINTS = """, km_points AS MATERIALIZED (SELECT pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
+    FROM or_partials JOIN centroids ON location_id = pickup_location_id GROUP BY ALL)"""
+_KMEANS = f"{_ALL_POINTS}, {kmeans('km_points', [S.N_ZONES])} "
+
+
+@register(
+    "i1_weighted_kmeans_zones",
+    with_("or_partials", "centroids") + _KMEANS + """SELECT p AS pickup_location_id, lat AS start_lat,
+      lng AS start_lng, w AS weight, z AS pickup_zone FROM km_labels""",
+)
 def i1(spark, sf_dir):
     points = pickup_points(or_partials(spark, sf_dir), lattice_centroids(spark))
     return assign_zones(points, fit_centres(points))
@@ -537,7 +547,10 @@ def i3(spark, sf_dir):
     return fit_zoning(or_partials(spark, sf_dir), lattice_centroids(spark)).profile
 
 
-@register("e15_kmeans_inertia")
+@register(
+    "e15_kmeans_inertia",
+    with_("or_partials", "centroids") + _KMEANS + f"SELECT {exact_sum('d2 * w', '1e9')} AS inertia FROM km_labels",
+)
 def e15_fitted(spark, sf_dir):
     points = pickup_points(or_partials(spark, sf_dir), lattice_centroids(spark))
     return inertia(points, fit_centres(points))
@@ -591,15 +604,31 @@ def i7(spark, sf_dir):
 @register("i8_backtest_refitted_zones")
 def i8_refitted(spark, sf_dir):
     return X.backtest(
-        covered_months(or_partials(spark, sf_dir)),
+        or_covered(spark, sf_dir),
         lattice_centroids(spark),
         WeekdayMean(),
     )
 
 
-@register("i9_validate_zone_counts")
+_LATEST = f""", zc_window AS (SELECT CAST(max(month) - INTERVAL {S.TRAIN_WINDOW_MONTHS - 1} MONTH AS DATE) AS first,
+      max(month) AS last FROM or_months),
+    km_points AS MATERIALIZED (SELECT pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
+      FROM or_months JOIN centroids ON location_id = pickup_location_id
+      WHERE month BETWEEN (SELECT first FROM zc_window) AND (SELECT last FROM zc_window) GROUP BY ALL),
+    {kmeans('km_points', S.ZONE_COUNT_CANDIDATES)}, {SILHOUETTES}"""
+
+
+@register(
+    "i9_validate_zone_counts",
+    _COVERED + _LATEST + f"""
+    SELECT CAST(k AS INTEGER) AS k, inertia, silhouette, smallest / CAST(rides AS DOUBLE) AS smallest_zone_share,
+      largest / CAST(rides AS DOUBLE) AS largest_zone_share
+    FROM (SELECT k, {exact_sum('d2 * w', '1e9')} AS inertia FROM km_labels GROUP BY k) JOIN silhouettes USING (k)
+      JOIN (SELECT k, CASE WHEN count(*) < k THEN 0 ELSE min(r) END AS smallest, max(r) AS largest, sum(r) AS rides
+            FROM (SELECT k, z, sum(w) AS r FROM km_labels GROUP BY ALL) GROUP BY k) USING (k)""",
+)
 def i9(spark, sf_dir):
-    return X.validate_zone_counts(covered_months(or_partials(spark, sf_dir)), lattice_centroids(spark))
+    return X.validate_zone_counts(or_covered(spark, sf_dir), lattice_centroids(spark))
 
 
 @register("i10_i11_random_search")
@@ -608,7 +637,7 @@ def i11(spark, sf_dir):
         return {**X.draw_tree_params(rng), "n_estimators": 2, "num_leaves": 7}
 
     return X.tune(
-        covered_months(or_partials(spark, sf_dir)),
+        or_covered(spark, sf_dir),
         lattice_centroids(spark),
         n_trials=1,
         n_test_months=1,

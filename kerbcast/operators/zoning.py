@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -15,6 +13,7 @@ from kerbcast import settings as S
 from kerbcast.functions.exact import exact_sum
 from kerbcast.functions.geo import nearest_centre, squared_distance
 from kerbcast.operators.grid import with_zone
+from kerbcast.operators.lloyd import fit_keyed
 
 Centres = Sequence[tuple[float, float]]
 # Distances are added in whole steps of this fraction of a coordinate unit.
@@ -43,23 +42,11 @@ def fit_centres(
     """K-means centres, ordered by coordinates so that zone numbers are repeatable.
 
     A point with weight w counts as w pickups, so the input is one row per location
-    however many trips there were.  Points are dealt by their coordinates over a fixed
-    number of partitions and ordered in each, so the seeded draw of first centres does not
-    depend on how the input happened to be split.
+    however many trips there were.
     """
-    columns = ["start_lat", "start_lng"]
-    n_points = points.select(*columns).distinct().limit(n_zones).count()
-    if n_points < n_zones:
-        raise ValueError(f"{n_zones} zones need at least as many distinct points, got {n_points}")
-    order = columns if weight is None else [*columns, weight]
-    points = points.repartition(S.FIT_PARTITIONS, *columns).sortWithinPartitions(*order)
-    kmeans = KMeans(k=n_zones, seed=seed, maxIter=300, tol=1e-4)
-    if weight is not None:
-        kmeans = kmeans.setWeightCol(weight)
-        points = points.withColumn(weight, F.col(weight).cast("double"))
-    vectors = VectorAssembler(inputCols=columns, outputCol="features").transform(points)
-    model = kmeans.fit(vectors)
-    return sorted((float(lat), float(lng)) for lat, lng in model.clusterCenters())
+    weights = F.lit(1) if weight is None else F.col(weight)
+    rows = points.select(F.lit(0).alias("fold"), "start_lat", "start_lng", weights.alias("weight"))
+    return fit_keyed(rows, [(0, n_zones)], seed)[0, n_zones]
 
 
 def assign_zones(points: DataFrame, centres: Centres) -> DataFrame:

@@ -7,6 +7,7 @@ memory and the checkpoint folder belong to the cluster and are left as found.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,11 +44,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the cluster's shared folder, removed when the application ends."""
+    path = f"{ensure_checkpoint_dir(spark)}/kerbcast-{name}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write a reduced table to the checkpoint folder and go on from there.
+    """Write a reduced table to the checkpoint folder and go on from the files.
 
     For small results of large scans that several later steps read: they neither repeat
-    the scan nor lose it with an executor, as a cached copy would be.
+    the scan nor lose it with an executor, as a cached copy would be.  A written table is
+    computed once; ``checkpoint()`` computes its rows twice.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = shared_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
