@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from catalog.common import ev_zoning, or_covered, or_partials
-from catalog.kmeans import SILHOUETTES, kmeans
+from catalog.kmeans import SILHOUETTES, kmeans, squared
 from catalog.section import Section
 from catalog.sql import BLOCKS, block, exact_mean, exact_sum, lattice_centres, metrics, nearest, with_
 from kerbcast import settings as S
@@ -429,14 +429,16 @@ def i8_summary(spark, sf_dir):
 
 _MONTHS = BLOCKS["or_months"][1]
 #: The backtest's blocks over months that have no day without trips or with very few.
-_COVERED = with_("backtest").replace(
-    f"or_months AS ({_MONTHS})",
-    f"""or_all_months AS ({_MONTHS}),
+def _covered(*names):
+    return with_(*names).replace(f"or_months AS ({_MONTHS})", _COVERED_MONTHS)
+
+
+_COVERED_MONTHS = f"""or_all_months AS ({_MONTHS}),
     or_day_counts AS (SELECT month, date, sum(ride_count) AS n FROM or_all_months GROUP BY ALL),
     or_covered AS (SELECT month FROM (SELECT *, median(n) OVER (PARTITION BY month) AS mid FROM or_day_counts)
       GROUP BY month HAVING count(*) = day(last_day(month)) AND bool_and(n >= {S.LOW_DAY_SHARE_OF_MEDIAN} * mid)),
-    or_months AS (SELECT * FROM or_all_months WHERE month IN (SELECT month FROM or_covered))""",
-)
+    or_months AS (SELECT * FROM or_all_months WHERE month IN (SELECT month FROM or_covered))"""
+_COVERED = _covered("backtest")
 
 
 def _covered_backtest(spark, sf_dir):
@@ -506,7 +508,7 @@ def i7_evaluate(spark, sf_dir):
 # --- fits SQL cannot follow ----------------------------------------------------------
 
 
-_ALL_POINTS = """, km_points AS MATERIALIZED (SELECT pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
+_ALL_POINTS = """, km_points AS MATERIALIZED (SELECT '' AS fold, pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
     FROM or_partials JOIN centroids ON location_id = pickup_location_id GROUP BY ALL)"""
 _KMEANS = f"{_ALL_POINTS}, {kmeans('km_points', [S.N_ZONES])} "
 
@@ -601,7 +603,33 @@ def i7(spark, sf_dir):
     )
 
 
-@register("i8_backtest_refitted_zones")
+_REFITTED = f""", km_points AS MATERIALIZED (
+      SELECT strftime(test_month, '%Y-%m') || '/' || window_months AS fold, pickup_location_id AS p, lat, lng,
+        CAST(sum(ride_count) AS BIGINT) AS w
+      FROM bt_folds JOIN or_months ON month = train_month JOIN centroids ON location_id = pickup_location_id GROUP BY ALL),
+    {kmeans('km_points', [S.N_ZONES])},
+    rf_settings AS (SELECT DISTINCT test_month, window_months, CAST(k AS INTEGER) AS n_zones, fold
+      FROM bt_folds JOIN km_centres ON fold = strftime(test_month, '%Y-%m') || '/' || window_months),
+    rf_maps AS MATERIALIZED (SELECT test_month, window_months, n_zones, location_id AS pickup_location_id, near.z AS pickup_zone
+      FROM (SELECT fold, k, location_id, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
+            FROM centroids p CROSS JOIN km_centres c GROUP BY ALL) JOIN rf_settings USING (fold)),
+    bt_train AS (SELECT test_month, window_months, n_zones, pickup_zone, hour, isodow(date) AS dow, sum(ride_count) AS rides
+      FROM bt_folds JOIN or_months ON month = train_month JOIN rf_maps USING (test_month, window_months, pickup_location_id)
+      GROUP BY ALL),
+    rf_counts AS (SELECT test_month, window_months, n_zones, pickup_zone, hour, date, sum(ride_count) AS n
+      FROM or_months JOIN rf_maps ON test_month = month AND rf_maps.pickup_location_id = or_months.pickup_location_id GROUP BY ALL),
+    bt_truth AS (SELECT s.test_month, s.window_months, s.n_zones, z AS pickup_zone, h AS hour, d.date,
+        coalesce(n, 0) AS ride_count
+      FROM rf_settings s JOIN (SELECT DISTINCT month, date FROM or_months) d ON d.month = s.test_month
+        CROSS JOIN range(24) b(h) CROSS JOIN range({S.N_ZONES}) a(z)
+        LEFT JOIN rf_counts c ON c.test_month = s.test_month AND c.window_months = s.window_months
+          AND c.n_zones = s.n_zones AND c.pickup_zone = z AND c.hour = h AND c.date = d.date),
+    backtest AS ({BLOCKS["backtest"][1]})
+    SELECT window_months, n_zones, strftime(test_month, '%Y-%m') AS test_month,
+      mae, rmse, wape, smallest_zone_share, n_test_rows FROM backtest"""
+
+
+@register("i8_backtest_refitted_zones", _covered("bt_folds", "bt_days", "centroids") + _REFITTED)
 def i8_refitted(spark, sf_dir):
     return X.backtest(
         or_covered(spark, sf_dir),
@@ -612,7 +640,7 @@ def i8_refitted(spark, sf_dir):
 
 _LATEST = f""", zc_window AS (SELECT CAST(max(month) - INTERVAL {S.TRAIN_WINDOW_MONTHS - 1} MONTH AS DATE) AS first,
       max(month) AS last FROM or_months),
-    km_points AS MATERIALIZED (SELECT pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
+    km_points AS MATERIALIZED (SELECT '' AS fold, pickup_location_id AS p, lat, lng, CAST(sum(ride_count) AS BIGINT) AS w
       FROM or_months JOIN centroids ON location_id = pickup_location_id
       WHERE month BETWEEN (SELECT first FROM zc_window) AND (SELECT last FROM zc_window) GROUP BY ALL),
     {kmeans('km_points', S.ZONE_COUNT_CANDIDATES)}, {SILHOUETTES}"""

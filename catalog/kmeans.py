@@ -27,38 +27,45 @@ def squared(a: str, b: str) -> str:
 
 
 def kmeans(points: str, counts: Sequence[int]) -> str:
-    """CTEs from ``points`` (p, lat, lng, w) to ``km_centres`` (k, z, lat, lng), ``km_labels`` (k, p,
-    lat, lng, w, z, d2)."""
+    """CTEs from ``points`` (fold, p, lat, lng, w) to ``km_centres`` (fold, k, z, lat, lng) and
+    ``km_labels`` (fold, k, p, lat, lng, w, z, d2)."""
     parts = [
-        f"""km_spots AS MATERIALIZED (SELECT lat, lng, CAST(sum(w) AS BIGINT) AS w,
-            {steps_of('lat')} AS lat9, {steps_of('lng')} AS lng9 FROM {points} GROUP BY lat, lng)""",
-        f"""km_drawn AS MATERIALIZED (SELECT s, lat, lng, row_number() OVER (PARTITION BY s ORDER BY draw, lat, lng) - 1 AS z
+        f"""km_spots AS MATERIALIZED (SELECT fold, lat, lng, CAST(sum(w) AS BIGINT) AS w,
+            {steps_of('lat')} AS lat9, {steps_of('lng')} AS lng9 FROM {points} GROUP BY fold, lat, lng)""",
+        f"""km_drawn AS MATERIALIZED (SELECT fold, s, lat, lng,
+            row_number() OVER (PARTITION BY fold, s ORDER BY draw, lat, lng) - 1 AS z
           FROM (SELECT *, -ln((h + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE)) / w AS draw FROM
             (SELECT *, {hex_number(f"substr(md5('{S.SEED}:' || s || ':' || lat9 || ':' || lng9), 1, 13)")} AS h
              FROM km_spots CROSS JOIN range({STARTS}) r(s))))""",
-        f"""km_0 AS MATERIALIZED (SELECT k, s, z, lat, lng FROM km_drawn
-          JOIN (SELECT unnest({list(counts)}) AS k) ON z < k WHERE k < (SELECT count(*) FROM {points}))""",
+        f"""km_0 AS MATERIALIZED (SELECT fold, k, s, z, lat, lng FROM km_drawn
+          JOIN (SELECT unnest({list(counts)}) AS k) ON z < k
+          JOIN (SELECT fold, count(*) AS n FROM {points} GROUP BY fold) USING (fold) WHERE k < n)""",
     ]
+
+    def near(centres: str, *columns: str) -> str:
+        own = ", ".join(f"p.{c}" for c in columns)
+        return f"""(SELECT c.fold, c.k, c.s, {own}, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
+            FROM km_spots p JOIN {centres} c ON p.fold = c.fold GROUP BY ALL)"""
+
     for step in range(1, STEPS + 1):
         parts.append(
-            f"""km_{step} AS MATERIALIZED (SELECT c.k, c.s, c.z, coalesce(a.lat, c.lat) AS lat, coalesce(a.lng, c.lng) AS lng
+            f"""km_{step} AS MATERIALIZED (SELECT c.fold, c.k, c.s, c.z, coalesce(a.lat, c.lat) AS lat, coalesce(a.lng, c.lng) AS lng
           FROM km_{step - 1} c LEFT JOIN (
-            SELECT k, s, near.z AS z, CAST(sum(CAST(w AS HUGEINT) * lat9) AS DOUBLE) / 1e9 / sum(w) AS lat,
+            SELECT fold, k, s, near.z AS z, CAST(sum(CAST(w AS HUGEINT) * lat9) AS DOUBLE) / 1e9 / sum(w) AS lat,
               CAST(sum(CAST(w AS HUGEINT) * lng9) AS DOUBLE) / 1e9 / sum(w) AS lng
-            FROM (SELECT k, s, p.lat9, p.lng9, p.w, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
-                  FROM km_spots p CROSS JOIN km_{step - 1} c GROUP BY ALL) GROUP BY ALL) a
-          ON a.k = c.k AND a.s = c.s AND a.z = c.z)"""
+            FROM {near(f'km_{step - 1}', 'lat9', 'lng9', 'w')} GROUP BY ALL) a
+          ON a.fold = c.fold AND a.k = c.k AND a.s = c.s AND a.z = c.z)"""
         )
     parts += [
-        f"""km_inertia AS (SELECT k, s, {exact_sum('near.d2 * w', '1e9')} AS inertia FROM (
-            SELECT k, s, p.lat, p.lng, p.w, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
-            FROM km_spots p CROSS JOIN km_{STEPS} c GROUP BY ALL) GROUP BY ALL)""",
-        f"""km_centres AS MATERIALIZED (SELECT k, CAST(row_number() OVER (PARTITION BY k ORDER BY lat, lng) - 1 AS INTEGER) AS z,
-            lat, lng FROM km_{STEPS} JOIN (SELECT k, min({{'i': inertia, 's': s}}).s AS s FROM km_inertia GROUP BY k)
-            USING (k, s))""",
-        f"""km_labels AS MATERIALIZED (SELECT k, p, lat, lng, w, near.z AS z, near.d2 AS d2 FROM (
-            SELECT c.k, p.p, p.lat, p.lng, p.w, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
-            FROM {points} p CROSS JOIN km_centres c GROUP BY ALL))""",
+        f"""km_inertia AS (SELECT fold, k, s, {exact_sum('near.d2 * w', '1e9')} AS inertia
+            FROM {near(f'km_{STEPS}', 'lat', 'lng', 'w')} GROUP BY ALL)""",
+        f"""km_centres AS MATERIALIZED (SELECT fold, k, lat, lng,
+            CAST(row_number() OVER (PARTITION BY fold, k ORDER BY lat, lng) - 1 AS INTEGER) AS z
+          FROM km_{STEPS} JOIN (SELECT fold, k, min({{'i': inertia, 's': s}}).s AS s FROM km_inertia GROUP BY ALL)
+            USING (fold, k, s))""",
+        f"""km_labels AS MATERIALIZED (SELECT fold, k, p, lat, lng, w, near.z AS z, near.d2 AS d2 FROM (
+            SELECT c.fold, c.k, p.p, p.lat, p.lng, p.w, min({{'d2': {squared('p', 'c')}, 'z': c.z}}) AS near
+            FROM {points} p JOIN km_centres c ON p.fold = c.fold GROUP BY ALL))""",
     ]
     return ",\n".join(parts)
 
