@@ -674,3 +674,51 @@ def i11(spark, sf_dir):
         current=QUICK_TREES,
         draw=draw,
     )
+
+
+def _short(rng):
+    """A draw whose trees are few and small; what else it drew stays."""
+    return {**X.draw_tree_params(rng), "n_estimators": 2, "num_leaves": 7}
+
+
+@register(
+    "i10_i11_search_violations",
+    "SELECT CAST(NULL AS VARCHAR) AS violation, CAST(NULL AS VARCHAR) AS trial WHERE false",
+)
+def i11_checked(spark, sf_dir):
+    """What would be wrong with a search over all default folds: a trial that is not scored on
+    every one of them, settings outside their range or not those drawn, trials out of order."""
+    n_trials, folds = 2, S.BACKTEST_TEST_MONTHS
+    partials = or_covered(spark, sf_dir)
+    found = settle(
+        X.tune(partials, lattice_centroids(spark), n_trials=n_trials, current=QUICK_TREES, draw=_short)
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    drawn = X.search_trials(n_trials, S.SEED, QUICK_TREES, _short)
+    wanted = spark.createDataFrame(
+        [(i, name, {k: float(v) for k, v in params.items()}) for i, name, params in drawn],
+        "trial_index int, wanted string, drawn map<string,double>",
+    )
+    beside = wanted.join(found, "trial_index", "left")
+    same = F.array_sort(F.map_entries("params")) == F.array_sort(F.map_entries("drawn"))
+    by_score = Window.orderBy("wape", "trial_index")  # one row a trial
+    ranked = found.withColumn("rank", F.row_number().over(by_score)).withColumn(
+        "shown", F.row_number().over(Window.orderBy("place"))
+    )
+    low_high = {name: (10.0**a, 10.0**b) if kind == "power of ten" else (a, b) for name, (kind, a, b) in S.SEARCH_SPACE.items()}
+    draws = spark.createDataFrame(
+        [(name, k, float(v)) for i, name, params in X.search_trials(S.TUNING_TRIALS)[1:] for k, v in params.items()],
+        "trial string, name string, value double",
+    )
+    ranges = spark.createDataFrame([(n, float(a), float(b)) for n, (a, b) in low_high.items()], "name string, low double, high double")
+    reasons = [
+        beside.filter(F.col("trial").isNull() | (F.col("trial") != F.col("wanted"))).select(F.lit("missing").alias("violation"), F.col("wanted").alias("trial")),
+        beside.filter(F.col("folds") != folds).select(F.lit("not on every fold"), "trial"),
+        beside.filter(~same).select(F.lit("other settings than drawn"), "trial"),
+        ranked.filter("rank <> shown").select(F.lit("out of order"), "trial"),
+        draws.join(ranges, "name").filter(~F.col("value").between(F.col("low"), F.col("high"))).select(F.lit("out of range"), "trial"),
+    ]
+    violations = reasons[0]
+    for more in reasons[1:]:
+        violations = violations.union(more)
+    return violations

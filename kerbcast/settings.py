@@ -84,5 +84,5 @@ OBSTACLE_UNREADABLE = "the current model's file could not be loaded (%s)"
 GRID_MAX_CELLS_PER_DAY = 100_000
 # Points held in one block of the pairwise distance sums.
 PAIRWISE_BLOCK = 1024
-# Partitions that fits with seeded draws use, whatever the input's size or split.
-FIT_PARTITIONS = 64
+# Rows of a partition in fits with seeded draws.
+FIT_ROWS = 65_536
