@@ -15,6 +15,7 @@ gives an empty table; other columns are carried along only where named in ``keep
 from __future__ import annotations
 
 import heapq
+import hashlib
 import math
 import re
 from array import array
@@ -29,8 +30,9 @@ from kerbcast.llm.bytetext import slices
 from kerbcast.llm.common import ship
 
 BLANK = "▁"
-#: Distinct cuts remembered by a task before it starts afresh; bounds its memory only.
-REMEMBERED = 400_000
+#: Distinct cuts remembered by a process before it starts afresh, new cuts encoded at a time,
+#: bytes of text handled at once: they bound its memory only.
+REMEMBERED, LEARNT, SLICE = 200_000, 4096, 256 << 10
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -333,6 +335,11 @@ class Cuts:
         self.first, self.ids = array("q", [0]), array("i")
 
     def learn(self, cuts: list[str]) -> None:
+        """Encode new cuts, a bounded number at a time."""
+        for begin in range(0, len(cuts), LEARNT):
+            self._learn(cuts[begin : begin + LEARNT])
+
+    def _learn(self, cuts: list[str]) -> None:
         """Encode new cuts, short ones together."""
         lengths = np.array(list(map(len, cuts)), np.int64)
         low = 0
@@ -419,6 +426,18 @@ class Cuts:
         return pa.array(texts, pa.string())
 
 
+_MADE: dict[str, Cuts] = {}
+
+
+def cuts_of_model(model: bytes) -> Cuts:
+    """The tables of a model, made once in a process: tasks of reused workers share them."""
+    name = hashlib.sha256(model).hexdigest()
+    if name not in _MADE:
+        _MADE.clear()
+        _MADE[name] = Cuts(Pieces(model))
+    return _MADE[name]
+
+
 def _project(characters: list[int], places: list[int]) -> tuple[list[int], list[int]]:
     """Byte spans of pieces from the characters they complete; a byte piece of a character
     that stands for itself gets its own byte, else a place within the character's span."""
@@ -452,9 +471,9 @@ def encode(
         added += [T.StructField("begins", ints, False), T.StructField("ends", ints, False)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts = Cuts(Pieces(shared.value))
+        cuts = cuts_of_model(shared.value)
         for batch in batches:
-            for part in slices(batch, "__text", 1 << 20):
+            for part in slices(batch, "__text", SLICE):
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 offsets, ids, begins, ends = cuts.encoded(texts)
                 lists = [pa.array(x.astype(np.int32)) for x in [ids, *([begins, ends] if spans else [])]]
