@@ -15,6 +15,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 #: Bytes of text handled at once; bounds the memory of a task whatever the rows are.
 SLICE_BYTES = 2 << 20
+#: The same where tables of words and lines are many times as large as the text.
+SMALL_SLICE = 512 << 10
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -33,7 +35,8 @@ def random_words(seed: int, n: int) -> np.ndarray:
 
 
 BYTE = random_words(11, 256)
-PLACE = random_words(23, 1 << 16)
+#: Weights of the low and the high 16 bits of a place within a run.
+PLACE, FAR_PLACE = random_words(23, 1 << 16), random_words(37, 1 << 16)
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -82,4 +85,8 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     firsts = np.cumsum(lengths) - lengths
     place = np.arange(int(lengths.sum()), dtype=np.int64) - np.repeat(firsts, lengths)
     values = BYTE[data[place + np.repeat(starts, lengths)]] * PLACE[place & 0xFFFF]
+    if lengths.max() > 1 << 16:
+        # Places 65,536 apart weigh differently too; those before weigh what they do in short runs.
+        far = np.flatnonzero(place >> 16)
+        values[far] *= FAR_PLACE[place[far] >> 16 & 0xFFFF]
     return mixed(np.add.reduceat(values, firsts) + lengths.astype(np.uint64))

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbcast.llm.bytetext import IS_WORD, LOWER, flat, mixed, random_words, run_hashes, runs, slices
+from kerbcast.llm.bytetext import IS_WORD, LOWER, SMALL_SLICE, flat, mixed, random_words, run_hashes, runs, slices
 from kerbcast.llm.common import components, saved, ship
 
 WORDS = 5
@@ -103,7 +103,7 @@ def signatures(documents: DataFrame, text: str = "text", carry: tuple[str, ...]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SMALL_SLICE):
                 values, at = shingles(part.column("__text"))
                 bounds = list(zip(at[:-1].tolist(), at[1:].tolist(), strict=True))
                 sets = [distinct(values[b:e]) for b, e in bounds]
@@ -131,7 +131,7 @@ def _sets(documents: DataFrame, text: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SMALL_SLICE):
                 values, at = shingles(part.column("__text"))
                 sets = [distinct(values[b:e]) for b, e in zip(at[:-1], at[1:], strict=True) if e > b]
                 yield pa.RecordBatch.from_arrays(

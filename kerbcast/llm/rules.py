@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbcast.llm.bytetext import IS_WORD, flat, mixed, random_words, run_hashes, runs, slices
+from kerbcast.llm.bytetext import IS_WORD, SMALL_SLICE, flat, mixed, random_words, run_hashes, runs, slices
 from kerbcast.llm.common import saved, ship
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -100,7 +100,7 @@ def rule_counts(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SMALL_SLICE):
                 counts = _counts(part.column("__text"))
                 columns = [part.column(k) for k in keep] + [pa.array(counts[n].astype(np.int64)) for n in names]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *names])
@@ -264,7 +264,7 @@ def filtered(documents: DataFrame, labels: DataFrame | None, text: str = "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SMALL_SLICE):
                 yield part.filter(pa.array(shared.value.kept(_counts(part.column(text)))))
 
     return documents.mapInArrow(work, documents.schema)
