@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +17,8 @@ from kerbcast.session import ensure_checkpoint_dir
 
 #: Words of every contract: runs of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Of each thread, the scratch tables of the stage that it runs or ran last.
+_stage = threading.local()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +56,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._kerbcast_path = path
+    if getattr(_stage, "open", False):
+        _stage.tables.append(table)
     return table
 
 
@@ -62,6 +69,26 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def staged(stage: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A stage (spark, docs, ...) of a chain in which each result is written before the next
+    stage begins.  Beginning a stage removes the scratch tables that the stage before it, in
+    the same thread and session, made, but for those that ``docs`` still reads."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, *rest) -> DataFrame:
+        before = [t for t in getattr(_stage, "tables", []) if t.sparkSession is docs.sparkSession]
+        read = docs.inputFiles() if before else []
+        needed = [any(Path(t._kerbcast_path).name in file for file in read) for t in before]
+        discard(*[t for t, still in zip(before, needed, strict=True) if not still])
+        _stage.tables, _stage.open = [t for t, still in zip(before, needed, strict=True) if still], True
+        try:
+            return stage(spark, docs, *rest)
+        finally:
+            _stage.open = False
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the undirected ``edges`` (x, y); the component
     is its smallest node.

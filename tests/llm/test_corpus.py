@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbcast.llm import mixing, rollup, suffixes
-from kerbcast.llm.common import shared_path
+from kerbcast.llm.common import saved, shared_path, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -208,3 +209,26 @@ def test_an_empty_corpus(spark, no_documents, labels, tmp_path):
     no_documents.write.parquet(str(tmp_path / "documents.parquet"))
     labels.write.parquet(str(tmp_path / "labels.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_a_stage_removes_what_the_stage_before_left_unless_it_is_read(spark, tmp_path):
+    made = []
+
+    @staged
+    def stage(spark, docs):
+        made.append(saved(docs.selectExpr("id + 1 AS id"), "kept"))
+        made.append(saved(docs, "beside"))
+        return made[-2]
+
+    def there():
+        return [Path(t._kerbcast_path).exists() for t in made]
+
+    outside = saved(spark.range(3), "outside")
+    lazy = stage(spark, stage(spark, spark.range(5)))
+    assert there() == [True, False, True, True]
+    assert sorted(r["id"] for r in lazy.collect()) == [2, 3, 4, 5, 6]
+    lazy.write.parquet(str(tmp_path / "out"))
+    last = stage(spark, spark.read.parquet(str(tmp_path / "out")))
+    assert there() == [False, False, False, False, True, True]
+    assert sorted(r["id"] for r in last.collect()) == [3, 4, 5, 6, 7]
+    assert outside.count() == 3
