@@ -14,6 +14,7 @@ from kerbcast.operators.baselines import baseline_scores
 from kerbcast.plans import lifecycle as L
 from kerbcast.plans.bundles import save_bundle
 from kerbcast.plans.forecast import WeekdayMean, train
+from kerbcast.plans.replay import replay
 from kerbcast.session import settle
 from kerbcast.sources import records
 from kerbcast.sources.standins import lattice_centroids, table
@@ -233,6 +234,158 @@ def i16(spark, sf_dir):
     return L.comparison_case(_meetings(spark, sf_dir))
 
 
+# --- the event log of fifty registries, replayed --------------------------------------
+
+# Each order is a run: logged, mostly registered a day later, decided on the second and (every
+# eighth) third day; every seventh moves the pointer by hand, now and then to nowhere.
+block(
+    "life", "pairs",
+    sql="""SELECT registry, happened + to_days(later) AS happened, o_orderkey * 8 + later AS step, kind,
+        CASE WHEN kind <> 'pointed' THEN CAST(o_orderkey AS VARCHAR) END AS run_id,
+        CASE WHEN kind = 'logged' THEN status END AS status,
+        CASE WHEN kind = 'pointed' THEN CAST(o_custkey % 300 + 1 AS INTEGER) END AS version,
+        CASE WHEN kind = 'decided' THEN candidate_wape END AS candidate_wape,
+        CASE WHEN kind = 'decided' THEN current_wape END AS current_wape
+      FROM (SELECT o_orderkey, o_custkey, o_custkey % 50 AS registry,
+          o_orderdate + to_seconds(CAST(o_orderkey AS INTEGER)) AS happened,
+          CASE o_orderstatus WHEN 'F' THEN 'FINISHED' WHEN 'O' THEN 'RUNNING' ELSE 'FAILED' END AS status
+        FROM orders) JOIN pairs USING (o_orderkey),
+        (VALUES ('logged', 0), ('registered', 1), ('decided', 2), ('decided', 3), ('pointed', 4))
+          kinds(kind, later)
+      WHERE CASE later WHEN 0 THEN true WHEN 1 THEN o_orderkey % 4 <> 3 WHEN 2 THEN o_orderkey % 5 <> 0
+        WHEN 3 THEN o_orderkey % 8 = 0 ELSE o_orderkey % 7 = 0 END""",
+)
+_RUN = "PARTITION BY registry, run_id ORDER BY happened, step"
+_ALL = "PARTITION BY registry ORDER BY happened, step"
+block(
+    "fit", "life",
+    sql=f"""SELECT *, kind = 'registered' AND coalesce(max(CASE WHEN status = 'FINISHED' THEN 1 END)
+        OVER ({_RUN}), 0) = 1 AS fit FROM life""",
+)
+block(
+    "counted", "fit",
+    sql=f"""SELECT *, count(*) FILTER (fresh) OVER ({_ALL}) AS versions
+      FROM (SELECT *, fit AND count(*) FILTER (fit) OVER ({_RUN}) = 1 AS fresh FROM fit)""",
+)
+block(
+    "owned", "counted",
+    sql=f"""SELECT *, CASE WHEN kind <> 'pointed'
+        THEN CAST(max(CASE WHEN fresh THEN versions END) OVER ({_RUN}) AS INTEGER) END AS own FROM counted""",
+)
+block(
+    "settled", "owned",
+    sql=f"""SELECT *, CASE kind WHEN 'logged' THEN true WHEN 'registered' THEN fit
+          WHEN 'decided' THEN own IS NOT NULL ELSE version BETWEEN 1 AND versions END AS accepted,
+        coalesce(candidate_wape IS NOT NULL AND (current_wape IS NULL OR candidate_wape <= {_LIMIT}), false)
+          AS rule FROM owned""",
+)
+block(
+    "placed_events", "settled",
+    sql=f"""SELECT *, last_value(moved IGNORE NULLS) OVER ({_ALL}) AS in_service,
+        last_value(moved IGNORE NULLS) OVER ({_ALL} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS previous,
+        count(*) FILTER (kind = 'decided' AND accepted) OVER ({_ALL}) AS decisions
+      FROM (SELECT *, CASE WHEN kind = 'decided' AND accepted AND rule THEN own
+          WHEN kind = 'pointed' AND accepted THEN version END AS moved FROM settled)""",
+)
+block(
+    "replayed", "placed_events",
+    sql=f"""SELECT *, kind = 'decided' AND accepted AND (NOT bare OR decisions = 1) AS written
+      FROM (SELECT *, coalesce(previous = own, false) AND kind = 'decided' AS bare FROM placed_events)""",
+)
+
+
+def _events(spark, sf_dir):
+    key = F.col("o_orderkey")
+    happens = {
+        "logged": ((0, F.lit(True)),),
+        "registered": ((1, key % 4 != 3),),
+        "decided": ((2, key % 5 != 0), (3, key % 8 == 0)),
+        "pointed": ((4, key % 7 == 0),),
+    }
+    each = F.array(
+        *[
+            F.when(when, F.struct(F.lit(kind).alias("kind"), F.lit(later).alias("later")))
+            for kind, times in happens.items()
+            for later, when in times
+        ]
+    )
+    status = F.when(F.col("o_orderstatus") == "F", "FINISHED").when(F.col("o_orderstatus") == "O", "RUNNING")
+    secs = (key + F.col("e.later") * 86400).cast("decimal(18,6)")
+    only = lambda kind, value: F.when(F.col("e.kind") == kind, value)
+    return (
+        table(spark, sf_dir, "orders")
+        .withColumn("e", F.explode(F.array_compact(each)))
+        .select(
+            (F.col("o_custkey") % 50).alias("registry"),
+            (F.col("o_orderdate") + F.make_dt_interval(secs=secs)).alias("at"),
+            (key * 8 + F.col("e.later")).alias("step"),
+            "e.kind",
+            F.when(F.col("e.kind") != "pointed", key.cast("string")).alias("run_id"),
+            only("logged", status.otherwise("FAILED")).alias("status"),
+            only("pointed", (F.col("o_custkey") % 300 + 1).cast("int")).alias("version"),
+            only("decided", F.when(key % 11 != 0, F.round(F.col("o_totalprice") / 2000000, 3))).alias("candidate_wape"),
+            only(
+                "decided", F.when(key % 13 != 0, F.round(0.05 + (F.col("o_custkey") % 40) / 200, 3))
+            ).alias("current_wape"),
+        )
+    )
+
+
+def _replayed(spark, sf_dir):
+    return replay(_events(spark, sf_dir), F.to_date("at"))
+
+
+@register(
+    "i20_version_in_service_after_each_event",
+    with_("replayed") + """SELECT registry, step, kind, run_id, accepted, coalesce(own, version) AS version,
+      previous, in_service FROM replayed""",
+)
+def i20(spark, sf_dir):
+    return _replayed(spark, sf_dir).select(
+        "registry", "step", "kind", "run_id", "accepted", "version", "previous", "in_service"
+    )
+
+
+@register(
+    "i21_pointer_moves_and_rollbacks",
+    with_("replayed") + """SELECT registry, step, version, accepted, previous, in_service,
+      coalesce(moved < previous, false) AS rolled_back FROM replayed WHERE kind = 'pointed'""",
+)
+def i21(spark, sf_dir):
+    moves = _replayed(spark, sf_dir).filter("kind = 'pointed'")
+    return moves.select("registry", "step", "version", "accepted", "previous", "in_service", "rolled_back")
+
+
+@register(
+    "i18_promotions_replayed",
+    with_("replayed") + f"""SELECT registry, step, run_id, own AS version, accepted, previous, in_service,
+      CASE WHEN accepted THEN rule AND NOT bare END AS promoted,
+      CASE WHEN accepted AND bare THEN 'this model is already the current one'
+        WHEN NOT accepted THEN NULL
+        WHEN candidate_wape IS NULL THEN 'the new model was not evaluated, so it can''t be compared'
+        WHEN current_wape IS NULL THEN 'there is no current model'
+        ELSE printf('WAPE %.4f is %s the limit of %.4f (current model %.4f)', candidate_wape,
+          CASE WHEN candidate_wape <= {_LIMIT} THEN 'within' ELSE 'above' END, {_LIMIT}, current_wape)
+      END AS reason FROM replayed WHERE kind = 'decided'""",
+)
+def i18_replayed(spark, sf_dir):
+    decisions = _replayed(spark, sf_dir).filter("kind = 'decided'")
+    return decisions.select(
+        "registry", "step", "run_id", "version", "accepted", "previous", "in_service", "promoted", "reason"
+    )
+
+
+@register(
+    "a10_decision_on_record",
+    with_("replayed") + f"""SELECT registry, step, run_id, written,
+      last_value(CASE WHEN written THEN step END IGNORE NULLS) OVER ({_ALL}) AS on_record
+      FROM replayed WHERE kind = 'decided'""",
+)
+def a10(spark, sf_dir):
+    decisions = _replayed(spark, sf_dir).filter("kind = 'decided'")
+    return decisions.select("registry", "step", "run_id", "written", "on_record")
+
+
 # --- labels, JSON and records --------------------------------------------------------
 
 
