@@ -130,6 +130,23 @@ def j4(spark, sf_dir):
     return B.baseline_scores(ev_daily(spark, sf_dir), CUT)
 
 
+@register(
+    "j4_e10_scores_on_shared_rows",
+    with_("predictions") + f"""
+    , filled AS (SELECT p.predictor, p.pickup_zone, p.hour, p.date, p.ride_count,
+        CASE WHEN p.predictor = 'zone_hour_weekday_mean' THEN coalesce(p.prediction, m.prediction)
+          ELSE p.prediction END AS prediction
+      FROM predictions p LEFT JOIN zh_mean m USING (pickup_zone, hour)),
+    shared AS (SELECT pickup_zone, hour, date FROM filled GROUP BY ALL HAVING count(prediction) = 4)
+    SELECT s.predictor, n_rows, mae, rmse, wape, coalesce(n_test_rows, 0) AS n_test_rows
+      FROM (SELECT predictor, count(*) AS n_rows FROM filled GROUP BY predictor) s
+      LEFT JOIN (SELECT predictor, {metrics()} FROM filled SEMI JOIN shared USING (pickup_zone, hour, date)
+        GROUP BY predictor) USING (predictor)""",
+)
+def j4_shared(spark, sf_dir):
+    return B.shared_baseline_scores(ev_daily(spark, sf_dir), CUT)
+
+
 @register(
     "e10_scores_by_hour",
     with_("predictions") + f"""SELECT predictor, hour, {metrics()} FROM predictions

@@ -67,12 +67,8 @@ def train_mean(in_train: Column, *keys: str) -> Column:
     return F.try_divide(rides.cast("double"), F.count_if(in_train).over(cell))
 
 
-def baseline_predictions(daily: DataFrame, first_test_day: dt.date | Column) -> DataFrame:
-    """All baselines on the test rows, long: one row per predictor and test cell.
-
-    Means use training days only.  Every baseline looks at one zone and hour, so a single
-    shuffle by zone and hour serves all four; a window holds one row per date.
-    """
+def _all_predictors(daily: DataFrame, first_test_day: dt.date | Column) -> tuple[DataFrame, list[str]]:
+    """The test rows with a column for each baseline, and the names of these."""
     cut = F.lit(first_test_day) if isinstance(first_test_day, dt.date) else first_test_day
     in_train = F.col("date") < cut
     predictors = {
@@ -81,13 +77,41 @@ def baseline_predictions(daily: DataFrame, first_test_day: dt.date | Column) ->
         "seasonal_naive": count_days_before(7).cast("double"),
         "persistence": count_days_before(1).cast("double"),
     }
-    wide = with_weekday(daily).withColumns(predictors).filter(~in_train)
+    return with_weekday(daily).withColumns(predictors).filter(~in_train), list(predictors)
+
+
+def _each(wide: DataFrame, names: list[str]) -> DataFrame:
     pairs = F.array(
-        *[F.struct(F.lit(n).alias("predictor"), F.col(n).alias("prediction")) for n in predictors]
+        *[F.struct(F.lit(n).alias("predictor"), F.col(n).alias("prediction")) for n in names]
     )
     return wide.select(*CELL, "date", "ride_count", F.inline(pairs))
 
 
+def baseline_predictions(daily: DataFrame, first_test_day: dt.date | Column) -> DataFrame:
+    """All baselines on the test rows, long: one row per predictor and test cell.
+
+    Means use training days only.  Every baseline looks at one zone and hour, so a single
+    shuffle by zone and hour serves all four; a window holds one row per date.
+    """
+    return _each(*_all_predictors(daily, first_test_day))
+
+
+def shared_baseline_scores(daily: DataFrame, first_test_day: dt.date | Column) -> DataFrame:
+    """All baselines on the same rows: the ``n_test_rows`` of all ``n_rows`` test rows that
+    every one of them can predict.  A weekday that a cell never saw in training gets the
+    cell's mean over all days."""
+    wide, names = _all_predictors(daily, first_test_day)
+    fallback = F.coalesce("zone_hour_weekday_mean", "zone_hour_mean")
+    wide = wide.withColumn("zone_hour_weekday_mean", fallback)
+    every = F.lit(True)
+    for name in names:
+        every = every & F.col(name).isNotNull()
+    wide = wide.withColumns({name: F.when(every, F.col(name)) for name in names})
+    rows = _each(wide, names)
+    sizes = rows.groupBy("predictor").agg(F.count("*").alias("n_rows"))
+    return sizes.join(error_metrics(rows, ["predictor"]), "predictor", "left").fillna(0, ["n_test_rows"])
+
+
 def baseline_scores(daily: DataFrame, first_test_day: dt.date | Column) -> DataFrame:
     return error_metrics(baseline_predictions(daily, first_test_day), ["predictor"])
 

@@ -53,11 +53,15 @@ def common_test_months(results: DataFrame) -> DataFrame:
 def summarize_backtest(results: DataFrame, order: Sequence[str] = ()) -> DataFrame:
     """Mean scores per setting over the months every setting was run on.
 
-    Averaging each setting over its own months would compare different seasons.
+    Averaging each setting over its own months would compare different seasons; where no
+    month was run for all, that is an error rather than an empty summary.
     """
     single = settle(first_rows(results, [*SETTING, "test_month"], order))
+    common = settle(common_test_months(single))
+    if common.isEmpty():
+        raise ValueError("no test month was run for every setting; nothing can be compared")
     return (
-        single.join(common_test_months(single), "test_month", "left_semi")
+        single.join(common, "test_month", "left_semi")
         .groupBy(*SETTING)
         .agg(
             F.count_distinct("test_month").alias("test_months"),
@@ -69,13 +73,6 @@ def summarize_backtest(results: DataFrame, order: Sequence[str] = ()) -> DataFra
     )
 
 
-def assert_comparable(results: DataFrame) -> None:
-    """Raise unless some test month was run for every setting."""
-    single = settle(first_rows(results, [*SETTING, "test_month"]))
-    if not common_test_months(single).take(1):
-        raise ValueError("no test month was run for every setting; nothing can be compared")
-
-
 def mean_over_folds(scores: DataFrame, keys: Sequence[str] = ("trial",)) -> DataFrame:
     """Mean metrics of each trial over its folds."""
     return scores.groupBy(*keys).agg(

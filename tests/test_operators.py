@@ -156,7 +156,9 @@ def test_summary_uses_months_every_setting_ran(spark):
     ]
     apart = spark.createDataFrame([rows[0], rows[3]], RESULTS)
     with pytest.raises(ValueError, match="nothing can be compared"):
-        scoring.assert_comparable(apart)
+        scoring.summarize_backtest(apart)
+    with pytest.raises(ValueError, match="nothing can be compared"):
+        scoring.summarize_backtest(apart.limit(0))
 
 
 def test_ties_keep_the_earlier_trial(spark):
@@ -167,6 +169,24 @@ def test_ties_keep_the_earlier_trial(spark):
 # --- baselines -----------------------------------------------------------------------
 
 
+def test_predictors_on_the_same_rows(spark):
+    """Two weeks of one cell; a second, one row of which all predict, on a weekday not seen in
+    training; a third without training days."""
+    first = dt.date(2026, 6, 1)
+    rows = [(0, 7, first + dt.timedelta(days=d), 3 * d % 7) for d in range(14)]
+    rows += [(1, 7, first + dt.timedelta(days=d), d) for d in (6, 8, 14, 15)]
+    rows += [(2, 7, first + dt.timedelta(days=d), 9) for d in (8, 9)]
+    daily = spark.createDataFrame(rows, "pickup_zone int, hour int, date date, ride_count long")
+    found = {
+        r["predictor"]: r
+        for r in baselines.shared_baseline_scores(daily, first + dt.timedelta(days=7)).collect()
+    }
+    assert len(found) == 4
+    assert {(r["n_rows"], r["n_test_rows"]) for r in found.values()} == {(12, 8)}
+    weekday = [abs(3 * d % 7 - 3 * (d - 7) % 7) for d in range(7, 14)] + [15 - 6]
+    assert found["zone_hour_weekday_mean"]["mae"] == pytest.approx(sum(weekday) / 8)
+
+
 @pytest.fixture(scope="module")
 def daily(spark):
     rows = [
