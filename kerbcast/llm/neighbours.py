@@ -32,6 +32,8 @@ from kerbcast.llm.common import saved, ship
 #: Rows of each label that the vectors are taken from, at most.
 SAMPLE = 2048
 BINS, RANK, NEIGHBOURS, BLOCK = 4096, 48, 15, 256
+#: Steps of a unit: sums over all BINS of counts times projection stay below 2**53.
+COUNT_STEPS, PROJECTION_STEPS, VECTOR_STEPS = 1 << 12, 1 << 18, 1 << 20
 #: Bins that each sign fills, so that it counts beside the many trigrams.
 SIGN = 8
 _DIGIT = np.zeros(256, bool)
@@ -68,41 +70,46 @@ def trigram_counts(texts: pa.Array) -> np.ndarray:
 
 
 class Voters:
-    """The projection, the labelled vectors and their votes."""
+    """The projection, the labelled vectors and their votes.
+
+    Weighted counts, projection and vectors are whole numbers of small steps, whose products
+    and sums are exact in double precision: a text's score does not depend on the texts that
+    share its block, nor on the block's size.
+    """
 
     def __init__(self, counts: np.ndarray, quality: np.ndarray, share: float) -> None:
         self.share = share
         self.weights = np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))).astype(np.float32) + 1
-        table = self._weighted(counts)
+        table = np.log1p(counts) * self.weights
+        table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)
         rng = np.random.default_rng(9)
         basis = rng.standard_normal((BINS, RANK + 16)).astype(np.float32)
         for _ in range(4):  # subspace iteration towards the leading right singular vectors
             basis = np.linalg.qr(table.T @ (table @ basis))[0]
         small = np.linalg.svd(table @ basis, full_matrices=False)[2]
-        self.projection = (basis @ small[:RANK].T).astype(np.float32)
-        self.vectors = self._unit(table @ self.projection).T.copy()
+        self.projection = np.rint((basis @ small[:RANK].T).astype(float) * PROJECTION_STEPS)
+        self.vectors = self.placed(counts).T.copy()
         kinds = np.array([np.mean(quality == 0), np.mean(quality == 1)])
         self.votes = (np.array([1 - share, share]) / kinds)[quality]
         self.good = self.votes * quality
 
-    def _weighted(self, counts: np.ndarray) -> np.ndarray:
-        table = np.log1p(counts) * self.weights
-        return table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)
-
-    @staticmethod
-    def _unit(table: np.ndarray) -> np.ndarray:
-        norms = np.linalg.norm(table, axis=1, keepdims=True)
-        return np.where(norms > 1e-9, table / np.maximum(norms, 1e-9), 0).astype(np.float32)
+    def placed(self, counts: np.ndarray) -> np.ndarray:
+        """Unit vectors in the latent space, in steps; zeros where there are no counts."""
+        table = np.rint(np.log1p(counts, dtype=float) * self.weights * COUNT_STEPS) @ self.projection
+        norms = np.sqrt((table * table).sum(1, keepdims=True))
+        return np.rint(table / np.where(norms > 0, norms, 1) * VECTOR_STEPS)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         out = np.full(len(counts), self.share)
         for begin in range(0, len(counts), BLOCK):
             block = counts[begin : begin + BLOCK]
-            unit = self._unit(self._weighted(block) @ self.projection)
-            cosines = unit @ self.vectors
-            k = min(NEIGHBOURS, cosines.shape[1])
-            nearest = np.argpartition(cosines, -k, axis=1)[:, -k:]
-            near = np.maximum(np.take_along_axis(cosines, nearest, 1), 0).astype(float) ** 4
+            products = self.placed(block) @ self.vectors
+            n = products.shape[1]
+            k = min(NEIGHBOURS, n)
+            # Of equal cosines the earlier voter's counts as the nearer.
+            ranked = products.astype(np.int64) * n - np.arange(n)
+            nearest = np.sort(np.argpartition(ranked, -k, axis=1)[:, -k:], axis=1)
+            near = np.maximum(np.take_along_axis(products, nearest, 1) / VECTOR_STEPS**2, 0) ** 4
             total = (near * self.votes[nearest]).sum(1)
             full = total > 1e-12
             good = (near * self.good[nearest]).sum(1)

@@ -164,6 +164,30 @@ def test_votes_tell_held_out_rows_apart(spark):
     assert 0 <= found[1000]["score"] == found[1001]["score"] <= 1 and not found[None]["held_out"]
 
 
+def test_scores_are_the_votes_of_all_voters_and_do_not_depend_on_blocks(spark, documents, corpus):
+    rows = [(i, int(len(t.split()) > 60)) for i, t in corpus if i is not None and t]
+    halves = spark.createDataFrame(rows, "doc_id long, quality int")
+    voters = neighbours.fitted(documents, halves)
+    vectors = voters.vectors.T.astype(int).tolist()
+    expected = {}
+    for doc_id, text in corpus:
+        counts = neighbours.trigram_counts(pa.array([text], pa.string()))
+        own = voters.placed(counts)[0].astype(int).tolist()
+        products = [sum(a * b for a, b in zip(own, v, strict=True)) for v in vectors]
+        nearest = sorted(range(len(vectors)), key=lambda k: (-products[k], k))[: neighbours.NEIGHBOURS]
+        near = {k: max(products[k] / neighbours.VECTOR_STEPS**2, 0) ** 4 for k in nearest}
+        total = sum(near[k] * voters.votes[k] for k in nearest)
+        good = sum(near[k] * voters.good[k] for k in nearest)
+        expected.setdefault(doc_id, set()).add(round(good / total if total > 1e-12 else voters.share, 12))
+    found = neighbours.scored(documents.repartition(7), halves).collect()
+    assert len(found) == len(corpus)
+    assert all(round(min(max(r["score"], 0), 1), 12) in expected[r["doc_id"]] for r in found)
+    key = lambda r: (str(r["doc_id"]), r["score"])
+    assert sorted(found, key=key) == sorted(neighbours.scored(documents.coalesce(1), halves).collect(), key=key)
+    scores = [voters.score(neighbours.trigram_counts(pa.array([t] * n, pa.string()))) for t in (corpus[0][1], corpus[5][1]) for n in (1, 3, 300)]
+    assert all(len(set(np.concatenate(scores[k : k + 3]))) == 1 for k in (0, 3))
+
+
 def test_labels_of_held_out_rows_play_no_part(spark, documents, labels):
     import zlib
 
