@@ -152,36 +152,70 @@ def test_no_usable_vectors(spark):
     assert sorted(alone, key=str) == sorted([(None, 0, None, True), (2, 0, 2, True)], key=str)
 
 
-def pairs_at_limit(n, width=64, seed=11):
-    """``n`` pairs of vectors, far from other pairs, with a cosine of just over 0.93."""
+def pairs_at_limit(n, mean=0.0, width=64, seed=11):
+    """``n`` pairs of unit vectors with a cosine of just over 0.93, whose vectors have a mean
+    cosine of about ``mean`` with those of other pairs."""
     rng = np.random.default_rng(seed)
     first = rng.standard_normal((n, width))
+    first *= math.sqrt(1 - mean) / np.linalg.norm(first, axis=1, keepdims=True)
+    first[:, 0] += math.sqrt(mean)
     first /= np.linalg.norm(first, axis=1, keepdims=True)
-    across = rng.standard_normal((n, width))
-    across -= (across * first).sum(1, keepdims=True) * first
-    across /= np.linalg.norm(across, axis=1, keepdims=True)
-    cosine = hashing.COSINE + 1e-9
-    return first, cosine * first + math.sqrt(1 - cosine**2) * across
-
-
-@pytest.mark.parametrize("part", [8, 12, 16, 20, 22, 25])
-def test_pairs_at_the_limit_meet_whatever_the_length_of_a_part(part):
-    first, second = pairs_at_limit(6000)
-    tables = hashing.n_tables(part)
-    rotations = hashing.Rotations(np.vstack([first, second])[::3], codes=max(hashing.CODES, -(-part * tables // 64)))
+    second, _ = hashing.at_limit(first, hashing.COSINE + 1e-9, seed + 1)
+    return first, second
+
+
+@pytest.mark.parametrize("part", [4, 8, 12, 16, 20])
+@pytest.mark.parametrize("mean", [0.0, 0.5, 0.7, 0.8])
+def test_pairs_at_the_limit_meet_whatever_their_mean_and_the_length_of_a_part(mean, part):
+    first, second = pairs_at_limit(2000, mean)
+    sample = np.vstack([first, second])[::2]
+    shares = hashing.Rotations(sample, codes=hashing.MEASURED).shares(sample)
+    tables = hashing.n_tables(part, shares)
+    rotations = hashing.Rotations(sample, codes=hashing.n_codes(part, tables))
     a, b = rotations.bits(first), rotations.bits(second)
     differ = np.bitwise_count(hashing.parts(a, part, tables) ^ hashing.parts(b, part, tables))
-    far = (a != b)[:, : 64 * hashing.CODES].sum(1) > hashing.FAR
-    assert ((differ.min(1) <= 1) & ~far).mean() >= 0.999
+    far = (a != b)[:, : 64 * hashing.CODES].sum(1) > hashing.bits_apart(shares)
+    assert ((differ.min(1) <= 1) & ~far).mean() >= 0.998
+
+
+def links_by_all_pairs(rows):
+    rows = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    return int((np.triu(rows @ rows.T, 1) >= hashing.COSINE).sum())
+
+
+def links_found(spark, rows, **options):
+    frame = spark.createDataFrame(
+        [(k, v.tolist(), 1) for k, v in enumerate(rows)], "vec_id long, embedding array<double>, label int"
+    )
+    return sum(r["n_links"] for r in hashing.linked_vectors(frame, **options).collect()) / 2
 
 
 def test_long_parts_lose_no_links(spark):
-    first, second = pairs_at_limit(300)
-    rows = np.vstack([first, second])
-    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
-    cosines = rows @ rows.T
-    links = (np.triu(cosines, 1) >= hashing.COSINE).sum()
-    frame = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(rows)], "vec_id long, embedding array<double>, label int")
-    assert links == 300
-    found = hashing.linked_vectors(frame, part=25).collect()
-    assert sum(r["n_links"] for r in found) == 2 * links
+    rows = np.vstack(pairs_at_limit(300))
+    assert links_by_all_pairs(rows) == 300 == links_found(spark, rows, part=25)
+
+
+@pytest.mark.parametrize("mean", [0.5, 0.8])
+def test_vectors_with_a_common_mean_lose_no_links(spark, mean):
+    rows = np.vstack(pairs_at_limit(1500, mean))
+    links = links_by_all_pairs(rows)
+    assert links >= 1500
+    assert links_found(spark, rows) >= 0.999 * links
+
+
+def test_vectors_that_nearly_all_link_meet(spark, monkeypatch):
+    monkeypatch.setattr(hashing, "SLICE", 16)  # buckets in several slices
+    rng = np.random.default_rng(2)
+    rows = np.eye(1, 16) * 8 + rng.standard_normal((300, 16)) * 0.5
+    links = links_by_all_pairs(rows)
+    assert links > 0.7 * 300 * 299 / 2
+    assert links_found(spark, rows) >= 0.999 * links
+
+
+def test_a_plan_has_longer_parts_for_more_vectors_and_more_tables_for_wider_angles():
+    near, far = np.full((2, 64), 0.12), np.full((2, 64), 0.27)
+    lengths = [hashing.plan(size, near)[0] for size in (10**3, 10**5, 10**7)]
+    assert lengths == sorted(set(lengths))
+    assert hashing.plan(10**5, far)[1] > hashing.plan(10**5, near)[1]
+    assert hashing.plan(10**5, np.full((2, 64), 0.5))[0] <= 2
+    assert hashing.plan(10**5, np.zeros((2, 64)))[1] == 1
