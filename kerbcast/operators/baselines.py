@@ -15,6 +15,7 @@ from kerbcast.operators.scoring import error_metrics
 from kerbcast.session import settle
 
 CELL = ("pickup_zone", "hour")
+MICROS_PER_HOUR, MICROS_PER_DAY = 3_600_000_000, 86_400_000_000
 
 
 def with_weekday(daily: DataFrame) -> DataFrame:
@@ -122,16 +123,36 @@ def baseline_scores(daily: DataFrame, first_test_day: dt.date | Column) -> DataF
 def chronological_sides(
     trips: DataFrame, id_col: str, fraction: float = 0.8, time_col: str = "start_time"
 ) -> DataFrame:
-    """Mark the first ``fraction`` of rows in time order as train, the rest as test.
+    """Mark the first ``fraction`` of rows in time order as train, the rest as test; rows
+    without a time come last.
 
-    The cut is found by exact rank selection on the time, then on the row id among rows
-    of the very same instant, so no global sort or row numbering is needed.
+    Counts by hour find the hour that holds the cut.  A scan pruned to that hour keeps its
+    instants and ids, where exact ranks find the instant, then the id among the rows of that
+    very instant.  So two scans of the trips do, with no global sort or row numbering.
     """
-    n_train = int(trips.count() * fraction)
     clock = wall_micros(F.col(time_col))
-    instant, earlier = value_at_rank(trips, clock, n_train)
-    tied = trips.filter(clock == F.lit(instant))
-    last_id, _ = value_at_rank(tied, F.col(id_col), n_train - earlier)
+    hour = clock - F.pmod(clock, F.lit(MICROS_PER_HOUR))
+    in_order = Window.orderBy(F.col("hour").asc_nulls_last())
+    # One row an hour passes through the ordering.
+    hours = trips.groupBy(hour.alias("hour")).agg(F.count("*").alias("n")).select(
+        "hour",
+        (F.sum("n").over(in_order) - F.col("n")).alias("before"),
+        F.sum("n").over(in_order).alias("upto"),
+        F.floor(F.sum("n").over(Window.partitionBy()) * F.lit(fraction)).alias("n_train"),
+    )
+    cut = hours.where("hour IS NOT NULL AND upto >= n_train").orderBy("hour").first()
+    if cut is None:
+        return trips.withColumn("side", F.when(clock.isNotNull(), "train").otherwise("test"))
+    if cut["n_train"] == 0:
+        return trips.withColumn("side", F.lit("test"))
+    # Whole days around the hour, in the column's own type, reach the scan.
+    kind, day = trips.schema[time_col].dataType, cut["hour"] // MICROS_PER_DAY
+    first, last = (F.date_from_unix_date(F.lit(day + d).cast("int")).cast(kind) for d in (-1, 2))
+    inside = trips.where((F.col(time_col) >= first) & (F.col(time_col) < last)).where(hour == F.lit(cut["hour"]))
+    held = settle(inside.select(clock.alias("clock"), F.col(id_col).alias("id")))
+    rank = cut["n_train"] - cut["before"]
+    instant, earlier = value_at_rank(held, F.col("clock"), rank)
+    last_id, _ = value_at_rank(held.where(F.col("clock") == F.lit(instant)), F.col("id"), rank - earlier)
     in_train = (clock < F.lit(instant)) | (
         (clock == F.lit(instant)) & (F.col(id_col) <= F.lit(last_id))
     )

@@ -29,8 +29,10 @@ def _bucket(value: Column, low: float | int, high: float | int) -> Column:
     return F.when(value == F.lit(low), 0).otherwise(part + 1)
 
 
-def _narrowed(df: DataFrame, whole: bool, wanted: dict, ends: dict) -> dict:
+def _narrowed(df: DataFrame, whole: bool, wanted: dict, ends: dict, weight: str | None) -> dict:
     """One kind of columns: (column, rank) -> (value, rows below it)."""
+    size = F.count(F.lit(1)) if weight is None else F.sum("w")
+    own = [] if weight is None else [F.col(weight).alias("w")]
     kind = "bigint" if whole else "double"
     low = {key: (*ends[key[0]], 0) for key in wanted}
     found = {}
@@ -48,9 +50,9 @@ def _narrowed(df: DataFrame, whole: bool, wanted: dict, ends: dict) -> dict:
             )
             for i, (name, a, b) in enumerate(ranges)
         ]
-        cells = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.range", "e.bucket")
+        cells = df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"), *own).groupBy("e.range", "e.bucket")
         counted: dict[int, list] = {}
-        for row in cells.agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("a"), F.max("e.v").alias("b")).collect():
+        for row in cells.agg(size.alias("n"), F.min("e.v").alias("a"), F.max("e.v").alias("b")).collect():
             counted.setdefault(row["range"], []).append((row["bucket"], row["n"], row["a"], row["b"]))
         for key, (a, b, below) in low.items():
             for _, n, first, last in sorted(counted[ranges.index((key[0], a, b))]):
@@ -61,9 +63,12 @@ def _narrowed(df: DataFrame, whole: bool, wanted: dict, ends: dict) -> dict:
     return found
 
 
-def values_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[tuple[str, int], tuple]:
+def values_at_ranks(
+    df: DataFrame, wanted: Mapping[str, Sequence[int]], weight: str | None = None
+) -> dict[tuple[str, int], tuple]:
     """For each column and rank (from 1, among values that are not null): the value of that
-    rank and how many values are smaller.
+    rank and how many values are smaller.  A row stands for as many as its whole ``weight``,
+    above 0, if one is named.
 
     Each pass counts, for all columns and ranks at once, rows in some thousand buckets of
     the range that holds a rank, and goes on with that bucket.  Bucketing is monotone in
@@ -81,7 +86,7 @@ def values_at_ranks(df: DataFrame, wanted: Mapping[str, Sequence[int]]) -> dict[
         keys = {(name, rank) for name in names if whole[name] is kind for rank in wanted[name]}
         if keys:
             own = {name: tuple(map(int if kind else float, ends[name])) for name, _ in keys}
-            found |= _narrowed(df, kind, keys, own)
+            found |= _narrowed(df, kind, keys, own, weight)
     return found
 
 
@@ -90,16 +95,31 @@ def value_at_rank(df: DataFrame, value: Column, rank: int) -> tuple:
     return values_at_ranks(df.select(value.alias("v")), {"v": [rank]})["v", rank]
 
 
+def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row for each distinct value of each column, with the rows that have it under ``n``;
+    the other columns are null there.  One scan, combined before its shuffle."""
+    entries = [
+        F.struct(*[(F.col(c) if c == name else F.lit(None)).cast(df.schema[c].dataType).alias(c) for c in columns])
+        for name in columns
+    ]
+    values = df.select(F.inline(F.array(*entries)))
+    return values.dropna("all").groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], weight: str | None = None
 ) -> dict[str, list[float | None]]:
-    """Interpolated quantiles of each column, ignoring missing values."""
-    counts = df.agg(*[F.count(name).alias(name) for name in columns]).first()
+    """Interpolated quantiles of each column, ignoring missing values; a row counts ``weight``
+    times, if that is named."""
+    each = F.lit(1) if weight is None else F.col(weight)
+    counts = df.agg(
+        *[F.coalesce(F.sum(F.when(F.col(name).isNotNull(), each)), F.lit(0)).alias(name) for name in columns]
+    ).first()
     wanted: dict[str, list[int]] = {}
     for name in columns:
         places = [p * (counts[name] - 1) for p in probabilities] if counts[name] else []
         wanted[name] = sorted({int(at) + k for at in places for k in (1, 2) if int(at) + k <= counts[name]})
-    values = values_at_ranks(df, wanted)
+    values = values_at_ranks(df, wanted, weight)
     found: dict[str, list[float | None]] = {}
     for name in columns:
         found[name] = [None] * len(probabilities)

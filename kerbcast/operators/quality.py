@@ -11,7 +11,8 @@ from pyspark.sql import Window
 from kerbcast.functions.exact import MICROS_PER_MINUTE, exact_sum
 from kerbcast.functions.geo import in_service_area
 from kerbcast.operators.lookups import lookup_join
-from kerbcast.operators.order_stats import exact_quantiles
+from kerbcast.operators.order_stats import exact_quantiles, value_counts
+from kerbcast.session import settle
 
 COORDINATES = ("start_lat", "start_lng", "end_lat", "end_lng")
 
@@ -66,8 +67,12 @@ def daily_series(partials: DataFrame, shock_share: float = 0.5) -> DataFrame:
 def iqr_outlier_shares(
     trips: DataFrame, columns: Sequence[str] = COORDINATES, reach: float = 1.5
 ) -> DataFrame:
-    """Share of rows outside the quartile fences, per column."""
-    quartiles = exact_quantiles(trips, columns, [0.25, 0.75])
+    """Share of rows outside the quartile fences, per column.
+
+    Trips are read once, to count each distinct value; ranks and shares come from the counts.
+    """
+    counted = settle(value_counts(trips, columns))
+    quartiles = exact_quantiles(counted, columns, [0.25, 0.75], "n")
     measures = []
     for name in columns:
         q1, q3 = quartiles[name]
@@ -75,16 +80,20 @@ def iqr_outlier_shares(
             continue
         low, high = q1 - reach * (q3 - q1), q3 + reach * (q3 - q1)
         outside = (F.col(name) < low) | (F.col(name) > high)
+        outliers = F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0))
         measures += [
             F.struct(
                 F.lit(name).alias("coordinate"),
                 F.lit(low).alias("low_fence"),
                 F.lit(high).alias("high_fence"),
-                F.count_if(outside).alias("outliers"),
-                F.try_divide(F.count_if(outside), F.count(name)).alias("outlier_share"),
+                outliers.alias("outliers"),
+                F.try_divide(outliers, F.sum(F.when(F.col(name).isNotNull(), F.col("n")))).alias("outlier_share"),
             )
         ]
-    return trips.agg(F.array(*measures).alias("_found")).select(F.inline("_found"))
+    if not measures:
+        kind = "coordinate string, low_fence double, high_fence double, outliers bigint, outlier_share double"
+        return trips.sparkSession.createDataFrame([], kind)
+    return counted.agg(F.array(*measures).alias("_found")).select(F.inline("_found"))
 
 
 def boundary_outliers(trips: DataFrame) -> DataFrame:

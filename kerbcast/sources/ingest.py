@@ -8,8 +8,10 @@ are never touched again.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +31,8 @@ CURATED_TYPES = {
     "trip_distance": T.DoubleType(),
     "fare_amount": T.DoubleType(),
 }
+#: Footers of a month's files that are read at a time.
+FOOTER_READERS = 16
 VIOLATION_SCHEMA = "path string, rule string, column_name string, detail string"
 
 
@@ -116,20 +120,28 @@ def _unreadable(path: str, error: Exception) -> list[tuple[str, str, str, str]]:
     return [(path, "unreadable", "", str(error).splitlines()[0])]
 
 
-def files_by_schema(spark: SparkSession, path: str) -> tuple[list[DataFrame], list]:
+def _footer(spark: SparkSession, path: str) -> tuple[str, T.StructType | None, list]:
+    try:
+        return path, spark.read.parquet(path).schema, []
+    except Exception as error:
+        return path, None, _unreadable(path, error)
+
+
+def files_by_schema(
+    spark: SparkSession, path: str, readers: int = FOOTER_READERS
+) -> tuple[list[DataFrame], list]:
     """The landed files, read together where their schemas are equal, and what is wrong
-    with the schema of any of them."""
+    with the schema of any of them.  ``readers`` footers are read at a time."""
     listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    paths = [row["path"] for row in listed.select("path").orderBy("path").collect()]
     groups: dict[str, list[str]] = {}
     found = []
-    for row in listed.select("path").orderBy("path").collect():
-        try:
-            schema = spark.read.parquet(row["path"]).schema
-        except Exception as error:
-            found += _unreadable(row["path"], error)
-            continue
-        found += _schema_violations(row["path"], schema)
-        groups.setdefault(schema.json(), []).append(row["path"])
+    with ThreadPoolExecutor(max_workers=readers) as threads:
+        read = inheritable_thread_target(spark)(_footer)
+        for file, schema, wrong in threads.map(lambda file: read(spark, file), paths):
+            found += wrong if schema is None else _schema_violations(file, schema)
+            if schema is not None:
+                groups.setdefault(schema.json(), []).append(file)
     if not groups and not found:
         found.append((path, "unreadable", "", "there are no files"))
     return [spark.read.parquet(*files) for files in groups.values()], found

@@ -13,7 +13,7 @@ from kerbcast.functions.clock import parse_month, shift_month, to_month
 from kerbcast.functions.geo import great_circle_km, nearest_centre
 from kerbcast.operators import baselines, bootstrap, quality, scoring, zoning
 from kerbcast.operators.lookups import lookup_join
-from kerbcast.operators.order_stats import exact_quantiles, value_at_rank, values_at_ranks
+from kerbcast.operators.order_stats import exact_quantiles, value_at_rank, value_counts, values_at_ranks
 from kerbcast.operators.periods import fold_windows, complete_folds, present_window, window_months
 from kerbcast.operators.polygons import polygon_centroids
 
@@ -82,6 +82,24 @@ def test_exact_quantiles_equal_the_built_in_percentile(spark):
     assert found["z"] == [None] * 5
 
 
+def test_quantiles_of_counted_values_are_those_of_the_rows(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, 0.5, 1.25, rng.gauss(0, 9)]), rng.choice([None, 3, 4, 2**60]), None) for _ in range(500)]
+    df = spark.createDataFrame(rows, "x double, y bigint, z double")
+    counted = value_counts(df, ["x", "y", "z"])
+    assert counted.agg(F.sum("n")).first()[0] == sum(v is not None for row in rows for v in row)
+    wanted = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    assert exact_quantiles(counted, ["x", "y", "z"], wanted, "n") == exact_quantiles(df, ["x", "y", "z"], wanted)
+
+
+def test_outlier_shares_with_missing_and_equal_coordinates(spark):
+    rows = [(1.0, None)] * 8 + [(2.0, None), (90.0, None), (None, None)]
+    df = spark.createDataFrame(rows, "start_lat double, end_lat double")
+    found = quality.iqr_outlier_shares(df, ["start_lat", "end_lat"]).collect()
+    assert [tuple(r) for r in found] == [("start_lat", 1.0, 1.0, 2, 0.2)]
+    assert quality.iqr_outlier_shares(df.limit(0), ["start_lat", "end_lat"]).collect() == []
+
+
 def test_sums_of_huge_weights(spark):
     df = spark.createDataFrame([(3e12, 1.5), (1.0, 2.0)], "weight double, score double")
     total = df.agg(exact_sum(F.col("weight") * F.col("score"), 1e9, wide=True)).first()[0]
@@ -97,6 +115,23 @@ def test_chronological_split_breaks_ties_by_id(spark):
     assert train == list(range(55))
 
 
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+@pytest.mark.parametrize("fraction", [0.0, 0.004, 0.3, 0.5, 0.8, 1.0])
+def test_chronological_split_equals_numbered_rows(spark, fraction, kind):
+    rng = random.Random(9)
+    start = dt.datetime(1969, 12, 31, 22)
+    times = [start + dt.timedelta(minutes=rng.choice([0, 59, 60, rng.randrange(4000)]), microseconds=rng.choice([0, 999_999])) for _ in range(250)]
+    rows = [(i, t) for i, t in enumerate(times)] + [(900, None), (901, None)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "id bigint, start_time timestamp_ntz").withColumn("start_time", F.col("start_time").cast(kind))
+    ordered = sorted((t, i) for i, t in rows if t is not None)
+    expected = {i for _, i in ordered[: int(len(rows) * fraction)]}
+    sided = baselines.chronological_sides(df, "id", fraction)
+    assert sided.count() == len(rows)
+    assert {r["id"] for r in sided.filter("side = 'train'").collect()} == expected
+    assert baselines.chronological_sides(df.limit(0), "id", fraction).collect() == []
+
+
 # --- periods -------------------------------------------------------------------------
 
 

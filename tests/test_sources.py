@@ -130,6 +130,20 @@ def test_every_file_of_a_month_is_checked(spark, folders, april):
     assert months(spark, curated) == []
 
 
+def test_many_footers_are_read_side_by_side(spark, folders, april):
+    folder = f"{folders[0]}/month=2026-04"
+    april.repartition(30).write.parquet(folder)
+    april.drop("fare_amount").repartition(5).write.mode("append").parquet(folder)
+    for k in range(3):
+        with open(f"{folder}/part-9999{k}.parquet", "wb") as broken:
+            broken.write(b"no footer here")
+    (groups, found), (alone, same) = (ingest.files_by_schema(spark, folder, n) for n in (8, 1))
+    rules = sorted(rule for _, rule, _, _ in found)
+    assert rules == ["missing_column"] * 5 + ["unreadable"] * 3
+    assert [row[:3] for row in found] == [row[:3] for row in same]
+    assert sorted(g.count() for g in groups) == sorted(g.count() for g in alone)
+
+
 def test_files_of_a_month_may_differ_in_types_and_extras(spark, folders, april):
     landing, curated = folders
     folder = f"{landing}/month=2026-04"
