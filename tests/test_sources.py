@@ -11,7 +11,7 @@ from kerbcast.operators.partials import location_hour_daily
 from kerbcast.sources import ingest, records
 from kerbcast.sources.centroids import centroids_present, read_centroids, write_centroids
 from kerbcast.sources.trips import normalize_trips, scan_trips
-from kerbcast.streaming.demand import current_partials, run_hourly_partials
+from kerbcast.streaming.demand import UPDATE_SCHEMA, UpdateLog, current_partials, run_hourly_partials
 from kerbcast.streaming.ingest import ingest_stream
 
 MARCH, APRIL, MAY = (dt.date(2026, m, 1) for m in (3, 4, 5))
@@ -202,7 +202,8 @@ def test_streamed_partials_equal_batch(spark, month_trips, tmp_path):
     measured = measure_trips(normalize_trips(stream), "2026-06")
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
     # Files may be read in any order; no row is too late.
-    run_hourly_partials(measured, out, checkpoint).awaitTermination()
+    run_hourly_partials(measured, out, checkpoint, fold_every=2).awaitTermination()
+    assert UpdateLog(spark, out).folders()[0].startswith(UpdateLog(spark, out).snapshots)
     streamed = current_partials(spark, out)
     batch = location_hour_daily(measure_trips(normalize_trips(trips), "2026-06"))
     assert sorted(map(tuple, streamed.select(batch.columns).collect())) == sorted(
@@ -210,6 +211,43 @@ def test_streamed_partials_equal_batch(spark, month_trips, tmp_path):
     )
 
 
+def test_folding_the_update_log_changes_no_state(spark, tmp_path):
+    log = UpdateLog(spark, str(tmp_path / "log"))
+    columns = [c for c in UPDATE_SCHEMA.split(", ") if c != "batch bigint"]
+
+    def batch(number):
+        keys = range(number, number + 4)  # each batch changes some rows of the one before
+        rows = [(k, dt.date(2026, 6, 1), 5, number, 1.0, 1, 0.5, 1) for k in keys]
+        return spark.createDataFrame(rows, ", ".join(columns))
+
+    def state():
+        return sorted(map(tuple, log.state().collect()))
+
+    expected, opened = {}, []
+    assert state() == []
+    log.fold()
+    for number in range(12):
+        log.append(batch(number), number)
+        expected |= {k: number for k in range(number, number + 4)}
+        before, listed = state(), log.state()
+        assert [(r[0], r[-1]) for r in before] == sorted(expected.items())
+        if number % 3 == 2:
+            log.fold()
+            # The same before the fold, by folders listed before it, and after it.
+            assert state() == before == sorted(map(tuple, listed.collect()))
+            log.append(batch(number), number)  # replayed
+            log.fold()
+            assert state() == before
+        opened.append(len(log.folders()))
+    assert max(opened) <= 4
+    assert len(list((tmp_path / "log").glob("batch=*"))) <= 6
+    # Neither an unfinished snapshot nor an unfinished batch is read.
+    for name in ("_snapshots/upto=99", "batch=99"):
+        batch(50).write.parquet(f"{log.out}/{name}")
+        (tmp_path / "log" / name / "_SUCCESS").unlink()
+    assert state() == before
+
+
 def test_centroid_lookup_is_written_once(spark, grid_centroids, tmp_path):
     path = str(tmp_path / "centroids")
     assert not centroids_present(spark, path)
