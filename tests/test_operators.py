@@ -442,6 +442,22 @@ def test_weighted_silhouette_matches_brute_force(spark, rows, block):
     assert found == pytest.approx(brute_silhouette(rows), abs=1e-7)
 
 
+def test_summed_distances_are_exact_in_every_tile(spark, monkeypatch):
+    monkeypatch.setattr(zoning, "_TILE", 7)
+    rng = random.Random(3)
+    rows = [(i, rng.random(), rng.random(), rng.randint(1, 9), rng.choice([None, 0, 1, 2])) for i in range(60)]
+    rows += [(60, 0.1, 0.2, 10**9, 3), (61, 90.1, 0.2, 10**9, 3), (62, None, 0.5, 2, 4), (62, 0.3, 0.3, 1, 0)]
+    found = zoning.summed_distances(spark.createDataFrame(rows, POINTS + ", pickup_zone int"), block_points=1000)
+    steps = {}
+    for point, x, y, weight, zone in rows:
+        for _, u, v, w, cluster in rows:
+            away = None if None in (x, u) else round(w * math.sqrt((x - u) * (x - u) + (y - v) * (y - v)) * 1e9)
+            steps.setdefault((point, zone, weight, cluster), []).append(away)
+    expected = {key: None if None in all_ else sum(all_) / 1e9 for key, all_ in steps.items()}
+    assert {tuple(r)[:4]: r["distance"] for r in found.collect()} == expected
+    assert "Join" not in found._jdf.queryExecution().toString()  # no point is sent to each block
+
+
 def test_empty_zones_share_zero(spark, make_partials):
     partials = make_partials([(1, "2026-08-01", 8, 30, 0.0, 0, 0.0, 0), (2, "2026-08-01", 8, 10, 0.0, 0, 0.0, 0)])
     zones = spark.createDataFrame([(1, 0), (2, 2)], "pickup_location_id int, pickup_zone int")
