@@ -17,6 +17,8 @@ left, so that no task orders a whole registry.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,38 +39,43 @@ def _of_run():
     return Window.partitionBy("registry", run).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
 
 
-def _carried(events: DataFrame, counts: dict[str, Column], lasts: dict[str, Column]) -> DataFrame:
-    """Running counts of flags and running last values that are not null, the present event
-    included, from the events of its period and the totals of the periods before.  The last
-    value before the event is ``before_`` and its name.  Events are written first, for both
-    the totals and the running values read them."""
-    taken = {name: F.coalesce(flag, F.lit(False)).cast("long") for name, flag in counts.items()}
-    rows = settle(events.withColumns({f"_{name}": value for name, value in (taken | lasts).items()}))
+def _begun(rows: DataFrame, counts: Sequence[str], lasts: Sequence[str]) -> DataFrame:
+    """For each registry and period what the periods before it left: sums of ``counts`` and last
+    values of ``lasts`` that are not null, under the same names."""
     at = F.struct(*_ORDER)
     totals = rows.groupBy("registry", "_period").agg(
-        *[F.sum(f"_{name}").alias(name) for name in counts],
-        *[
-            F.max_by(f"_{name}", F.when(F.col(f"_{name}").isNotNull(), at)).alias(name)
-            for name in lasts
-        ],
+        *[F.sum(name).alias(name) for name in counts],
+        *[F.max_by(name, F.when(F.col(name).isNotNull(), at)).alias(name) for name in lasts],
     )
     earlier = Window.partitionBy("registry").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
-    begun = totals.select(
-        F.col("registry").alias("_of"),
-        F.col("_period").alias("_in"),
-        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}") for name in counts],
-        *[F.last(name, ignorenulls=True).over(earlier).alias(f"_before_{name}") for name in lasts],
+    return totals.select(
+        "registry",
+        "_period",
+        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(name) for name in counts],
+        *[F.last(name, ignorenulls=True).over(earlier).alias(name) for name in lasts],
     )
-    inside = Window.partitionBy("registry", "_period").orderBy(*_ORDER)
+
+
+def _carried(rows: DataFrame, counts: Sequence[str], lasts: Sequence[str]) -> DataFrame:
+    """Written ``rows`` with the running sums of the columns ``counts`` and the running last
+    values of ``lasts`` in their place, the present event included; the last value before the
+    event is ``before_`` and its name.
+
+    What a period takes over is a row that comes before its events, so that they are sent to
+    their period once and meet no join."""
+    begun = _begun(rows, counts, lasts).withColumn("_begun", F.lit(0))
+    both = rows.withColumn("_begun", F.lit(1)).unionByName(begun, allowMissingColumns=True)
+    inside = Window.partitionBy("registry", "_period").orderBy("_begun", *_ORDER)
     here = inside.rowsBetween(Window.unboundedPreceding, 0)
     above = inside.rowsBetween(Window.unboundedPreceding, -1)
-    joined = rows.join(begun, F.expr("registry <=> _of AND _period <=> _in"))
-    names = [
-        *[(F.col(f"_before_{n}") + F.sum(f"_{n}").over(here)).alias(n) for n in counts],
-        *[F.coalesce(F.last(f"_{n}", ignorenulls=True).over(here), f"_before_{n}").alias(n) for n in lasts],
-        *[F.coalesce(F.last(f"_{n}", ignorenulls=True).over(above), f"_before_{n}").alias(f"before_{n}") for n in lasts],
-    ]
-    return joined.select(*events.columns, *names)
+    running = {
+        **{name: F.sum(name).over(here) for name in counts},
+        **{name: F.last(name, ignorenulls=True).over(here) for name in lasts},
+        **{f"before_{name}": F.last(name, ignorenulls=True).over(above) for name in lasts},
+    }
+    kept = [c for c in both.columns if c not in running]
+    found = both.select(*kept, *[value.alias(name) for name, value in running.items()])
+    return found.where("_begun = 1").drop("_begun")
 
 
 def replay(
@@ -80,41 +87,54 @@ def replay(
     record) and ``on_record`` (the step of the decision on record after it).
 
     Deciding on the model in service says only that; it goes on record where nothing is.
+    Events are written three times, and each time only with what later steps read.
     """
     kind, target = F.col("kind"), F.col("version")
     rows = events.withColumn("_period", F.lit(0) if period is None else period)
     finished = F.max((kind == "logged") & (F.col("status") == "FINISHED")).over(_of_run())
     rows = rows.withColumn("_fit", (kind == "registered") & F.coalesce(finished, F.lit(False)))
     rows = rows.withColumn("_new", F.col("_fit") & (F.sum(F.col("_fit").cast("int")).over(_of_run()) == 1))
-    rows = _carried(rows, {"_versions": F.col("_new")}, {})
+    rows = settle(rows.drop("status").withColumn("_versions", F.col("_new").cast("long")))
+    # Versions are counted where one begins or is pointed at; no other event asks for the count.
+    asks = F.coalesce(F.col("_new") | (kind == "pointed"), F.lit(False))
+    counted = _carried(rows.where(asks), ["_versions"], [])
+    rows = counted.unionByName(rows.where(~asks).withColumn("_versions", F.lit(None).cast("long")))
     number = F.max(F.when(F.col("_new"), F.col("_versions"))).over(_of_run()).cast("int")
     rows = rows.withColumn("_own", F.when(kind != "pointed", number))
-    rows = decide(rows, tolerance)
     accepted = (
         F.when(kind == "logged", True)
         .when(kind == "registered", F.col("_fit"))
         .when(kind == "decided", F.col("_own").isNotNull())
         .otherwise(F.coalesce(target.between(1, F.col("_versions")), F.lit(False)))
     )
-    rows = rows.withColumns({"accepted": accepted, "_wins": (kind == "decided") & accepted & F.col("promoted")})
-    moved = F.when(F.col("_wins"), F.col("_own")).when((kind == "pointed") & F.col("accepted"), target)
-    rows = rows.withColumn("_moved", moved)
+    rows = rows.withColumn("accepted", accepted)
     decided = (kind == "decided") & F.col("accepted")
-    rows = _carried(rows, {"_decisions": decided}, {"in_service": F.col("_moved")})
+    rows = decide(rows, tolerance).drop("reason")
+    moved = F.when(decided & F.col("promoted"), F.col("_own")).when((kind == "pointed") & F.col("accepted"), target)
+    rows = rows.withColumns({"_moved": moved, "_decisions": F.coalesce(decided, F.lit(False)).cast("long")})
+    rows = settle(rows.drop("promoted", "_fit", "_new", "_versions"))
+    rows = _carried(rows.withColumn("in_service", F.col("_moved")), ["_decisions"], ["in_service"])
     rows = rows.withColumnRenamed("before_in_service", "previous")
     bare = decided & F.coalesce(F.col("previous") == F.col("_own"), F.lit(False))
     written = decided & (~bare | (F.col("_decisions") == 1))
-    rows = rows.withColumns(
+    back = F.coalesce((kind == "pointed") & (F.col("_moved") < F.col("previous")), F.lit(False))
+    rows = rows.withColumns({"_bare": bare, "written": written, "rolled_back": back, "version": F.coalesce("_own", target)})
+    rows = rows.withColumn("_record", F.when(F.col("written"), F.col("step")))
+    inside = Window.partitionBy("registry", "_period").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("on_record", F.last("_record", ignorenulls=True).over(inside))
+    rows = settle(rows.drop("_own", "_moved", "_decisions", "_record"))
+    # Only events before a period's first record take over the one that stood.
+    stood = _begun(rows.withColumn("_record", F.when(F.col("written"), F.col("step"))), [], ["_record"])
+    stood = stood.select(F.col("registry").alias("_of"), F.col("_period").alias("_in"), F.col("_record").alias("_stood"))
+    open_ = rows.where("on_record IS NULL").join(stood, F.expr("registry <=> _of AND _period <=> _in"), "left")
+    open_ = open_.withColumn("on_record", F.col("_stood")).select(*rows.columns)
+    rows = decide(rows.where("on_record IS NOT NULL").unionByName(open_), tolerance)
+    return rows.withColumns(
         {
-            "version": F.coalesce("_own", target),
-            "promoted": F.when(decided, F.col("promoted") & ~bare),
-            "reason": F.when(bare, F.lit(S.ALREADY_CURRENT)).when(decided, F.col("reason")),
-            "rolled_back": F.coalesce((kind == "pointed") & (F.col("_moved") < F.col("previous")), F.lit(False)),
-            "written": written,
+            "promoted": F.when(decided, F.col("promoted") & ~F.col("_bare")),
+            "reason": F.when(F.col("_bare"), F.lit(S.ALREADY_CURRENT)).when(decided, F.col("reason")),
         }
-    )
-    rows = _carried(rows, {}, {"on_record": F.when(F.col("written"), F.col("step"))})
-    return rows.select(
+    ).select(
         "registry", "at", "step", "kind", "run_id", "version", "accepted", "promoted", "reason",
         "previous", "in_service", "rolled_back", "written", "on_record",
     )

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbcast import settings as S
+from kerbcast.plans import replay as replay_module
 from kerbcast.plans.replay import EVENT_SCHEMA, replay
 
 START = datetime.datetime(2026, 3, 1)
@@ -73,3 +74,16 @@ def test_every_state_is_that_of_a_plain_fold(spark, period):
 
 def test_no_events(spark):
     assert replay(spark.createDataFrame([], EVENT_SCHEMA), F.to_date("at")).collect() == []
+
+
+def test_events_are_sent_narrow_and_without_joins(spark, monkeypatch):
+    """What is written on the way holds no column that later steps do not read, and what a
+    period takes over reaches its events without a join that sends them once more."""
+    kept, settle = [], replay_module.settle
+    monkeypatch.setattr(replay_module, "settle", lambda df: (kept.append(df), settle(df))[1])
+    events = spark.createDataFrame(random_events(50, 3), EVENT_SCHEMA)
+    replay(events, F.to_date("at")).collect()
+    assert len(kept) == 3
+    for df in kept:
+        assert not {"status", "promoted", "reason"} & set(df.columns)
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
