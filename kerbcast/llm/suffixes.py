@@ -358,24 +358,34 @@ def _counted(contexts: DataFrame) -> DataFrame:
     """
     rows = contexts.select("context", "before", "after", "dlo", "dhi", "n")
     open_ = rows.withColumn("ranges", F.array(F.struct(F.col("dlo").alias("low"), F.col("dhi").alias("high"))))
-    answers = []
+    answers, read = [], ()
     for width in STRETCHES:
         cut = saved(_ranges(open_, width), "stretches")
-        often = cut.where("whole IS NOT NULL").groupBy("whole").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-        settled = cut.where("once").select("context", "low", "high", "core", "whole").join(often, "whole", "left_semi")
-        settled = saved(settled.drop("whole"), "settled")
-        answers.append(settled.select("context", "low", "high"))
+        discard(*read)
+        # Wholes that occur once are told by a count, so the many that occur often stay in place.
+        held = cut.where("whole IS NOT NULL")
+        own = F.any_value(F.struct("context", "low", "high", "core", "once")).alias("own")
+        alone = held.groupBy("whole").agg(F.count(F.lit(1)).alias("held"), own).where("held = 1")
+        alone = saved(alone.select("own.*").where("once"), "alone")
+        place = F.struct("low", "high")
+        told = held.where("once").select("context", place.alias("whole"), F.lit(None).cast("struct<low:int,high:int>").alias("alone"))
+        told = told.unionByName(alone.select("context", F.lit(None).cast("struct<low:int,high:int>").alias("whole"), place.alias("alone")))
+        spans = F.array_except(F.collect_list("whole"), F.collect_list("alone")).alias("spans")
+        answers.append(saved(told.groupBy("context").agg(spans).where(F.size("spans") > 0), "settled"))
         # Cores that two contexts have, and at least one of them without an answer yet.
-        asked = cut.groupBy("core").agg(F.count(F.lit(1)).alias("held"), F.count_if("once").alias("open")).where("held > 1")
-        closed = settled.groupBy("core").agg(F.count(F.lit(1)).alias("closed"))
-        cores = asked.join(closed, "core", "left").where(F.col("open") > F.coalesce("closed", F.lit(0)))
-        further = cut.join(saved(cores.select("core"), "cores"), "core", "left_semi")
+        asked = cut.select("core", F.lit(1).alias("held"), (F.col("once") & F.col("whole").isNull()).alias("open"))
+        asked = asked.unionByName(alone.select("core", F.lit(0).alias("held"), F.lit(True).alias("open")))
+        cores = asked.groupBy("core").agg(F.sum("held").alias("held"), F.bool_or("open").alias("open")).where("held > 1 AND open")
+        cores = saved(cores.select("core"), "cores")
+        further = cut.join(cores, "core", "left_semi")
         ranges = further.groupBy("context").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
         open_ = rows.join(ranges, "context")
+        read = (cut, alone, cores)
+    discard(*read)
     found = answers[0]
     for more in answers[1:]:
         found = found.unionByName(more)
-    return found.groupBy("context").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    return found.groupBy("context").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def _cut(texts: DataFrame) -> DataFrame:

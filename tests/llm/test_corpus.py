@@ -53,6 +53,17 @@ def test_crowded_grams_give_the_same(documents, corpus, monkeypatch):
     check_removed(documents, corpus)
 
 
+def test_crowded_grams_meet_in_counts_not_in_joins(documents, corpus, monkeypatch):
+    """What many documents share is told by counts, so no row of a join stands for it."""
+    plans, saved = [], suffixes.saved
+    monkeypatch.setattr(suffixes, "CROWD", 3)
+    monkeypatch.setattr(
+        suffixes, "saved", lambda df, name: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), saved(df, name))[1]
+    )
+    check_removed(documents, corpus)
+    assert not [line for plan in plans for line in plan.split("\n") if "Join" in line and "whole" in line]
+
+
 def test_random_pieces_of_a_common_source(spark):
     rng = random.Random(1)
     source = "".join(rng.choice("abcd ") for _ in range(3000))
