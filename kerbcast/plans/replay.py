@@ -33,10 +33,10 @@ EVENT_SCHEMA = (
 _ORDER = ("at", "step")
 
 
-def _of_run():
+def _of_run(*ties: str):
     """A run's events up to the present one; an event without a run stands alone."""
     run = F.coalesce("run_id", F.concat(F.lit("step "), "step"))
-    return Window.partitionBy("registry", run).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    return Window.partitionBy("registry", run).orderBy(*_ORDER, *ties).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def _begun(rows: DataFrame, counts: Sequence[str], lasts: Sequence[str]) -> DataFrame:
@@ -99,7 +99,8 @@ def replay(
     asks = F.coalesce(F.col("_new") | (kind == "pointed"), F.lit(False))
     counted = _carried(rows.where(asks), ["_versions"], [])
     rows = counted.unionByName(rows.where(~asks).withColumn("_versions", F.lit(None).cast("long")))
-    number = F.max(F.when(F.col("_new"), F.col("_versions"))).over(_of_run()).cast("int")
+    # Of rows that repeat a step, the one that changes the state comes last.
+    number = F.max(F.when(F.col("_new"), F.col("_versions"))).over(_of_run("_new")).cast("int")
     rows = rows.withColumn("_own", F.when(kind != "pointed", number))
     accepted = (
         F.when(kind == "logged", True)
@@ -120,7 +121,7 @@ def replay(
     back = F.coalesce((kind == "pointed") & (F.col("_moved") < F.col("previous")), F.lit(False))
     rows = rows.withColumns({"_bare": bare, "written": written, "rolled_back": back, "version": F.coalesce("_own", target)})
     rows = rows.withColumn("_record", F.when(F.col("written"), F.col("step")))
-    inside = Window.partitionBy("registry", "_period").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("registry", "_period").orderBy(*_ORDER, "written").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("on_record", F.last("_record", ignorenulls=True).over(inside))
     rows = settle(rows.drop("_own", "_moved", "_decisions", "_record"))
     # Only events before a period's first record take over the one that stood.
