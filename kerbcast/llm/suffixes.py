@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kerbcast.llm.bytetext import BYTE, flat, mixed, slices
+from kerbcast.llm.bytetext import BYTE, SMALL_SLICE, flat, mixed, slices
 from kerbcast.llm.common import discard, saved, ship
 
 LENGTH, GRAM = 200, 64
@@ -228,7 +228,7 @@ def _scan(documents: DataFrame, text: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "__text"):
+            for part in slices(batch, "__text", SMALL_SLICE):  # anchors take 150 bytes a byte of text
                 data, offsets = flat(part.column("__text"))
                 raw = data.tobytes()
                 texts = [raw[b:e] for b, e in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
@@ -322,8 +322,9 @@ def _sorted(contexts: DataFrame) -> DataFrame:
 
 def _ranges(contexts: DataFrame, width: int) -> DataFrame:
     """A row for each stretch of ``width`` distances that a context's ranges touch: the bytes
-    that all its strings share (core), and those of all of them together (whole; null where
-    the context does not reach over the stretch)."""
+    that all its strings share (core), those of all of them together (whole; null where the
+    context does not reach over the stretch), and whether the range is still without an
+    answer and its context in one place (once)."""
     schema = "context binary, low int, high int, core binary, whole binary, once boolean"
     names = [f.split()[0] for f in schema.split(", ")]
     kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_())
@@ -334,14 +335,14 @@ def _ranges(contexts: DataFrame, width: int) -> DataFrame:
                 rows = []
                 for r in batch.slice(begin, 500).to_pylist():
                     text, zero = r["before"][::-1] + r["after"], len(r["before"])
-                    stretches = {d // width for p in r["ranges"] for d in range(max(p["low"], r["dlo"]), min(p["high"], r["dhi"]) + 1)}
-                    for low in sorted(width * s for s in stretches):
+                    stretches = {d // width: p["once"] for p in r["ranges"] for d in range(max(p["low"], r["dlo"]), min(p["high"], r["dhi"]) + 1)}
+                    for low, once in sorted((width * s, once) for s, once in stretches.items()):
                         high = low + width - 1
                         core = _digest(b"%d " % low + text[zero - low : zero - high + LENGTH])
                         whole = None
                         if r["dlo"] <= low and high <= r["dhi"]:
                             whole = _digest(b"%d " % low + text[zero - high : zero - low + LENGTH])
-                        rows.append((r["context"], low, high, core, whole, r["n"] == 1))
+                        rows.append((r["context"], low, high, core, whole, once))
                 columns = list(zip(*rows, strict=True)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -353,11 +354,13 @@ def _counted(contexts: DataFrame) -> DataFrame:
 
     Distances are taken in stretches.  Where the whole of a stretch occurs twice, all its
     strings repeat; where its core occurs once, none does; else it is cut into shorter
-    stretches, down to single strings.  So a context costs a few rows for each edge of what
-    it shares, not one for each string.
+    stretches, down to single strings.  Of the contexts that share a settled stretch only
+    one goes on with it, as a witness for others that share a part.  So a context costs a
+    few rows for each edge of what it shares, not one for each string.
     """
-    rows = contexts.select("context", "before", "after", "dlo", "dhi", "n")
-    open_ = rows.withColumn("ranges", F.array(F.struct(F.col("dlo").alias("low"), F.col("dhi").alias("high"))))
+    rows = contexts.select("context", "before", "after", "dlo", "dhi")
+    start = F.array(F.struct(F.col("dlo").alias("low"), F.col("dhi").alias("high"), (F.col("n") == 1).alias("once")))
+    open_ = contexts.select(*rows.columns, start.alias("ranges"))
     answers, read = [], ()
     for width in STRETCHES:
         cut = saved(_ranges(open_, width), "stretches")
@@ -365,22 +368,21 @@ def _counted(contexts: DataFrame) -> DataFrame:
         # Wholes that occur once are told by a count, so the many that occur often stay in place.
         held = cut.where("whole IS NOT NULL")
         own = F.any_value(F.struct("context", "low", "high", "core", "once")).alias("own")
-        alone = held.groupBy("whole").agg(F.count(F.lit(1)).alias("held"), own).where("held = 1")
-        alone = saved(alone.select("own.*").where("once"), "alone")
-        place = F.struct("low", "high")
-        told = held.where("once").select("context", place.alias("whole"), F.lit(None).cast("struct<low:int,high:int>").alias("alone"))
-        told = told.unionByName(alone.select("context", F.lit(None).cast("struct<low:int,high:int>").alias("whole"), place.alias("alone")))
+        kinds = held.groupBy("whole").agg(F.count(F.lit(1)).alias("held"), own)
+        kinds = saved(kinds.select("own.context", "own.low", "own.high", "own.core", (F.col("own.once") & (F.col("held") == 1)).alias("once")), "kinds")
+        place, none = F.struct("low", "high"), F.lit(None).cast("struct<low:int,high:int>")
+        told = held.where("once").select("context", place.alias("whole"), none.alias("alone"))
+        told = told.unionByName(kinds.where("once").select("context", none.alias("whole"), place.alias("alone")))
         spans = F.array_except(F.collect_list("whole"), F.collect_list("alone")).alias("spans")
         answers.append(saved(told.groupBy("context").agg(spans).where(F.size("spans") > 0), "settled"))
         # Cores that two contexts have, and at least one of them without an answer yet.
-        asked = cut.select("core", F.lit(1).alias("held"), (F.col("once") & F.col("whole").isNull()).alias("open"))
-        asked = asked.unionByName(alone.select("core", F.lit(0).alias("held"), F.lit(True).alias("open")))
-        cores = asked.groupBy("core").agg(F.sum("held").alias("held"), F.bool_or("open").alias("open")).where("held > 1 AND open")
+        left = cut.where("whole IS NULL").select(*kinds.columns).unionByName(kinds)
+        cores = left.groupBy("core").agg(F.count(F.lit(1)).alias("held"), F.bool_or("once").alias("open")).where("held > 1 AND open")
         cores = saved(cores.select("core"), "cores")
-        further = cut.join(cores, "core", "left_semi")
-        ranges = further.groupBy("context").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
+        further = left.join(cores, "core", "left_semi")
+        ranges = further.groupBy("context").agg(F.collect_list(F.struct("low", "high", "once")).alias("ranges"))
         open_ = rows.join(ranges, "context")
-        read = (cut, alone, cores)
+        read = (cut, kinds, cores)
     discard(*read)
     found = answers[0]
     for more in answers[1:]:

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 from pathlib import Path
@@ -64,6 +65,39 @@ def test_crowded_grams_meet_in_counts_not_in_joins(documents, corpus, monkeypatc
     assert not [line for plan in plans for line in plan.split("\n") if "Join" in line and "whole" in line]
 
 
+def test_a_settled_stretch_is_not_cut_again(spark, monkeypatch):
+    """Each distance of a context is answered once, and one context stands for all that share
+    an answer, so the rows follow the edges of what is shared."""
+    rng = random.Random(4)
+    source = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    rows = []
+    for k in range(40):
+        at = rng.randrange(700)
+        rows.append((k, f"{k:04d}" * 60 + source[:at] + "#" + f"{k:03d}" + source[at:]))
+    tables, saved = {}, suffixes.saved
+
+    def kept(df, name):
+        table = saved(df, name)
+        if name in ("stretches", "settled"):
+            tables.setdefault(name, []).append([r.asDict(True) for r in table.collect()])
+        return table
+
+    monkeypatch.setattr(suffixes, "CROWD", 3)
+    monkeypatch.setattr(suffixes, "saved", kept)
+    check_removed(spark.createDataFrame(rows, "doc_id long, text string"), rows)
+    told = collections.Counter(
+        (r["context"], d) for step in tables["settled"] for r in step for s in r["spans"] for d in range(s["low"], s["high"] + 1)
+    )
+    assert told and max(told.values()) == 1
+    for before, step in itertools.pairwise(tables["stretches"]):
+        wholes = collections.Counter(r["whole"] for r in before if r["whole"] is not None)
+        shared = {(r["context"], d) for r in before if wholes[r["whole"]] > 1 for d in range(r["low"], r["high"] + 1)}
+        again = sum((r["context"], r["low"]) in shared for r in step)
+        width = step[0]["high"] - step[0]["low"] + 1 if step else 1
+        longer = before[0]["high"] - before[0]["low"] + 1
+        assert again <= sum(n > 1 for n in wholes.values()) * (longer // width)
+
+
 def test_random_pieces_of_a_common_source(spark):
     rng = random.Random(1)
     source = "".join(rng.choice("abcd ") for _ in range(3000))
