@@ -5,7 +5,10 @@ normalised character remembers the source bytes it came from.  Pieces are then m
 score, and each is projected to the byte span of its characters.  No piece of a usable
 model holds a blank mark after another character, so texts are cut before blank marks (and
 around line feeds, where no longer piece has them) and each distinct cut is encoded once
-per task; where a model has such pieces, the text is encoded in one go.
+per task; where a model has such pieces, the text is encoded in one go.  A long text goes
+in stretches that part where two characters stand together in no piece, so that beside its
+ids and spans a task holds little for it (a model with a character map of its own takes it
+in one go).  The model is read on the driver; tasks need its rules alone, no library.
 
 Results for odd rows: a null text counts as empty and has no ids and an empty decoded text;
 texts of any length are encoded whole; repeated rows give repeated results; an empty table
@@ -30,9 +33,10 @@ from kerbcast.llm.bytetext import slices
 from kerbcast.llm.common import ship
 
 BLANK = "▁"
-#: Distinct cuts remembered by a process before it starts afresh, new cuts encoded at a time,
-#: bytes of text handled at once: they bound its memory only.
-REMEMBERED, LEARNT, SLICE = 200_000, 4096, 256 << 10
+#: Distinct cuts, and characters and ids of cuts, remembered by a process before it starts
+#: afresh, new cuts encoded at a time, bytes of text handled at once, characters of a long
+#: text's stretch, ids decoded at a time: they bound its memory only.
+REMEMBERED, HELD, LEARNT, SLICE, STRETCH, RUN = 200_000, 8 << 20, 4096, 256 << 10, 256 << 10, 256 << 10
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -81,6 +85,7 @@ class Pieces:
             raise ValueError("blank marks must come before words")
         if any(p.type in (USER, UNUSED) for p in proto.pieces):
             raise ValueError("user-defined and unused pieces are not supported")
+        self.name = hashlib.sha256(model).hexdigest()
         rules = proto.normalizer_spec
         self.prefix, self.squeeze, self.mark = (
             rules.add_dummy_prefix,
@@ -97,6 +102,7 @@ class Pieces:
         self.surface = [p.piece if p.type == NORMAL else "" for p in proto.pieces]
         self.byte_of = {i: b for b, i in self.bytes.items()}
         longer = [p for p in self.ids if len(p) > 1]
+        self.joined = {p[k : k + 2] for p in longer for k in range(len(p) - 1)}
         self.plain = not self.map.units and self.prefix and not self.squeeze and self.mark == BLANK
         if any(BLANK in p.lstrip(BLANK) for p in longer):
             self.cuts = re.compile(r".+", re.S)
@@ -105,15 +111,26 @@ class Pieces:
         else:
             self.cuts = re.compile(f"\n|{BLANK}*[^{BLANK}\n]+|{BLANK}+")
 
-    def normalize(self, text: str) -> tuple[str, list[int]]:
+    def stretches(self, text: str) -> Iterator[str]:
+        """The text in runs of STRETCH characters or a few more: no merge goes across where
+        one ends, as no piece holds the two characters there side by side."""
+        begin, n = 0, len(text)
+        while begin < n:
+            end = begin + STRETCH if self.plain else n
+            while end < n and text[end - 1 : end + 1].replace(" ", BLANK) in self.joined:
+                end += 1
+            yield text[begin:end]
+            begin = end
+
+    def normalize(self, text: str, inside: bool = False) -> tuple[str, list[int]]:
         """The normalised text and, for each of its characters and its end, the source
-        byte at which that character's bytes begin."""
+        byte at which that character's bytes begin.  ``inside``: text stands before it."""
         source = text.encode()
         out: list[str] = []
         places: list[int] = []
         at = 0
         last_blank = self.squeeze
-        if self.prefix and source:
+        if self.prefix and source and not inside:
             out.append(self.mark)
             places.append(0)
         while at < len(source):
@@ -333,6 +350,7 @@ class Cuts:
     def restart(self) -> None:
         self.numbers: dict[str, int] = {}
         self.first, self.ids = array("q", [0]), array("i")
+        self.characters = 0
 
     def learn(self, cuts: list[str]) -> None:
         """Encode new cuts, a bounded number at a time."""
@@ -369,19 +387,36 @@ class Cuts:
         self.ids.frombytes(ids.astype(np.int32).tobytes())
         self.first.frombytes(ends.astype(np.int64).tobytes())
         self.numbers.update(zip(cuts, range(number, number + len(cuts)), strict=True))
+        self.characters += sum(map(len, cuts))
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Offsets by text, ids, and begins and ends in source bytes."""
-        if len(self.first) > REMEMBERED:
+        if all(len(text) <= STRETCH for text in texts):
+            return self._encoded(texts)
+        offsets = [0]
+        found: list[list[np.ndarray]] = [[], [], []]
+        for text in texts:
+            n = at = 0
+            for part in self.pieces.stretches(text):
+                _, ids, begins, ends = self._encoded([part], at > 0)
+                for all_, own in zip(found, (ids, begins + at, ends + at), strict=True):
+                    all_.append(own.astype(np.int32))
+                n, at = n + len(ids), at + len(part.encode())
+            offsets.append(offsets[-1] + n)
+        return np.array(offsets), *map(np.concatenate, found)
+
+    def _encoded(self, texts: list[str], inside: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same of texts, or stretches inside of texts, that are encoded at once."""
+        if len(self.first) > REMEMBERED or self.characters + len(self.ids) > HELD:
             self.restart()
         pieces, aligned = self.pieces, {}
         cuts: list[str] = []
         cuts_of = [0]
         for k, text in enumerate(texts):
             if pieces.plain and BLANK not in text:
-                normal = BLANK + text.replace(" ", BLANK) if text else ""
+                normal = ("" if inside else BLANK) + text.replace(" ", BLANK) if text else ""
             else:
-                normal, aligned[k] = pieces.normalize(text)
+                normal, aligned[k] = pieces.normalize(text, inside)
             cuts += pieces.cuts.findall(normal)
             cuts_of.append(len(cuts))
         numbers = list(map(self.numbers.get, cuts))
@@ -398,7 +433,7 @@ class Cuts:
         ids = np.frombuffer(self.ids, np.int32)[at] if total else np.zeros(0, np.int32)
         upto = np.concatenate(([0], np.cumsum(self.width[ids])))
         lengths = np.diff(offsets)
-        shift = np.repeat(upto[offsets[:-1]] + int(pieces.plain), lengths)  # the first mark has no bytes
+        shift = np.repeat(upto[offsets[:-1]] + int(pieces.plain and not inside), lengths)  # the first mark has no bytes
         begins, ends = np.maximum(upto[:-1] - shift, 0), np.maximum(upto[1:] - shift, 0)
         for k, places in aligned.items():
             own = slice(int(offsets[k]), int(offsets[k + 1]))
@@ -407,11 +442,15 @@ class Cuts:
 
     def decoded(self, offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
         """The texts of the id lists."""
-        widths = self.width[ids]
-        upto = np.concatenate(([0], np.cumsum(widths)))
-        raw = self.raw[np.arange(int(upto[-1])) + np.repeat(self.start[ids] - upto[:-1], widths)]
-        bounds = upto[offsets]
-        blob = raw.tobytes()
+        blob, bounds = bytearray(), np.zeros(len(offsets), np.int64)
+        for begin in range(0, len(ids), RUN):
+            own = ids[begin : begin + RUN]
+            widths = self.width[own]
+            upto = np.concatenate(([0], np.cumsum(widths)))
+            inside = (offsets > begin) & (offsets <= begin + RUN)
+            bounds[inside] = len(blob) + upto[offsets[inside] - begin]
+            blob += self.raw[np.arange(int(upto[-1])) + np.repeat(self.start[own] - upto[:-1], widths)].tobytes()
+        raw = np.frombuffer(blob, np.uint8)
         if self.pieces.prefix:
             skip = np.zeros(len(offsets) - 1, np.int64)
             full = np.flatnonzero(np.diff(bounds))
@@ -429,13 +468,12 @@ class Cuts:
 _MADE: dict[str, Cuts] = {}
 
 
-def cuts_of_model(model: bytes) -> Cuts:
+def cuts_of_model(pieces: Pieces) -> Cuts:
     """The tables of a model, made once in a process: tasks of reused workers share them."""
-    name = hashlib.sha256(model).hexdigest()
-    if name not in _MADE:
+    if pieces.name not in _MADE:
         _MADE.clear()
-        _MADE[name] = Cuts(Pieces(model))
-    return _MADE[name]
+        _MADE[pieces.name] = Cuts(pieces)
+    return _MADE[pieces.name]
 
 
 def _project(characters: list[int], places: list[int]) -> tuple[list[int], list[int]]:
@@ -460,9 +498,9 @@ def encode(
 ) -> DataFrame:
     """``keep`` columns with ids, decoded and (with ``spans``) begins and ends: the source
     bytes [begin, end) of every piece.  ``model`` is the path of a model file on the driver;
-    its bytes, fixed in size, travel with the tasks."""
+    its vocabulary and rules, fixed in size, travel with the tasks."""
     with open(model, "rb") as file:
-        shared = documents.sparkSession.sparkContext.broadcast(file.read())
+        shared = documents.sparkSession.sparkContext.broadcast(Pieces(file.read()))
     ship(documents.sparkSession)
     kept = [documents.schema[name] for name in keep]
     ints = T.ArrayType(T.IntegerType(), False)
@@ -476,7 +514,7 @@ def encode(
             for part in slices(batch, "__text", SLICE):
                 texts = [t or "" for t in part.column("__text").to_pylist()]
                 offsets, ids, begins, ends = cuts.encoded(texts)
-                lists = [pa.array(x.astype(np.int32)) for x in [ids, *([begins, ends] if spans else [])]]
+                lists = [pa.array(x.astype(np.int32, copy=False)) for x in [ids, *([begins, ends] if spans else [])]]
                 lists = [pa.ListArray.from_arrays(offsets.astype(np.int32), x) for x in lists]
                 columns = [*[part.column(n) for n in keep], lists[0], cuts.decoded(offsets, ids), *lists[1:]]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keep, *[f.name for f in added]])

@@ -62,6 +62,21 @@ def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: Ids written at once: a string for each of a long text's ids fills an executor.
+_WRITTEN = 1 << 16
+
+
+def _joined(ids: str) -> Column:
+    """The ids with commas between them."""
+
+    def join(some: Column) -> Column:
+        return F.array_join(some.cast("array<string>"), ",")
+
+    begins = F.sequence(F.lit(1), F.size(ids), F.lit(_WRITTEN))
+    runs = F.transform(begins, lambda k: join(F.slice(ids, k, _WRITTEN)))
+    return F.when(F.size(ids) <= _WRITTEN, join(F.col(ids))).otherwise(F.array_join(runs, ","))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -69,9 +84,9 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2(_joined("ids"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_source_bytes"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_source_bytes"),
     )
 
 

@@ -4,13 +4,14 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from kerbcast.llm import chat, neighbours, pieces, pii, rules
+from kerbcast.llm import chat, neighbours, pieces, pii, queries, rules
 
 WORD = r"[^\x20\x09-\x0D]+"
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -92,6 +93,60 @@ def test_encode_keeps_columns(documents, no_documents, library):
     assert pieces.encode(no_documents, MODEL).collect() == []
 
 
+def test_tasks_need_no_tokenizer_library(spark, documents, tmp_path, monkeypatch):
+    (tmp_path / "sentencepiece.py").write_text("raise ImportError('only the driver has it')\n")
+    monkeypatch.setitem(spark.sparkContext.environment, "PYTHONPATH", str(tmp_path))
+    assert len(pieces.encode(documents, MODEL).collect()) == documents.count()
+
+
+def test_stretches_of_a_text_equal_the_whole(monkeypatch):
+    cuts = pieces.Cuts(pieces.Pieces(open(MODEL, "rb").read()))
+    own = [t for t in TEXTS if len(t) > 20][:120] + ["", "a" * 300, "漢字" * 50 + "▁ thing"]
+    whole = cuts.encoded(own)
+    texts = cuts.decoded(whole[0], whole[1])
+    for stretch, run in ((1, 1), (9, 4)):
+        monkeypatch.setattr(pieces, "STRETCH", stretch)
+        monkeypatch.setattr(pieces, "RUN", run)
+        parted = cuts.encoded(own)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, parted, strict=True))
+        assert cuts.decoded(parted[0], parted[1]).equals(texts)
+
+
+def test_a_long_text_takes_little_beside_its_ids():
+    cuts = pieces.Cuts(pieces.Pieces(open(MODEL, "rb").read()))
+    words = scraps(5, 3000, 4, ["a", "tion", "é", "th", "q", "漢"])
+    text = " ".join(random.Random(6).choices(words, k=500_000))
+    cuts.encoded([text[:20_000]])
+    tracemalloc.start()
+    offsets, ids, _, _ = cuts.encoded([text])
+    cuts.decoded(offsets, ids)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 * len(ids)
+
+
+def test_cuts_remembered_are_bounded_by_their_size(monkeypatch):
+    monkeypatch.setattr(pieces, "HELD", 20_000, raising=False)
+    cuts = pieces.Cuts(pieces.Pieces(open(MODEL, "rb").read()))
+    rng = random.Random(7)
+    for _ in range(40):
+        cuts.encoded(["".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(1000))])
+        assert sum(map(len, cuts.numbers)) + len(cuts.ids) < 20_000 + 4 * 1001
+
+
+def test_digests_of_long_and_odd_texts(spark, tmp_path, library):
+    texts = [None, "", " ", "the thing", "one two " * 70_000, "漢" * 30_000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r["doc_id"]: r for r in queries.op5_sentencepiece(spark, str(tmp_path)).collect()}
+    assert len(rows) == len(texts)
+    for k, text in enumerate(texts):
+        ids = library.encode(text or "")
+        assert rows[k]["n_tokens"] == len(ids)
+        assert rows[k]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert rows[k]["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+        assert rows[k]["n_source_bytes"] == len((text or "").encode())
+
+
 # Quality rules
 
 
